@@ -11,7 +11,7 @@ from .params import (
     entries_with_value,
     has_pivot_key,
     param_lookup,
-    param_text,
+    param_value,
     value_text,
 )
 
@@ -25,7 +25,7 @@ __all__ = [
     "event_millis",
     "has_pivot_key",
     "param_lookup",
-    "param_text",
+    "param_value",
     "session_id",
     "value_text",
 ]

@@ -9,17 +9,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PARAMS = "event_params"
 ITEMS_KEY = "items"
 
+# Typed slots of a value, in the order in which they are tried.
+SLOTS = ("string_value", "int_value", "float_value", "double_value")
+
 
 def value_text(value: Column) -> Column:
     """A typed value as text: string, int, float, double, whichever is set first."""
-    return F.coalesce(
-        value["string_value"],
-        *[value[slot].cast("string") for slot in ("int_value", "float_value", "double_value")],
-    )
+    return F.coalesce(*[value[slot].cast("string") for slot in SLOTS])
 
 
 def position_of(key: str, params: str = PARAMS) -> Column:
@@ -32,14 +33,25 @@ def param_lookup(key: str, slot: str, params: str = PARAMS) -> Column:
     return F.get(F.col(f"{params}.value.{slot}"), position_of(key, params))
 
 
-def entries_with_value(params: str = PARAMS) -> Column:
-    """The entries that carry a value, in array order."""
-    return F.filter(F.col(params), lambda entry: value_text(entry["value"]).isNotNull())
+def entries_with_value(value_type: T.StructType, params: str = PARAMS) -> Column:
+    """The entries that carry a value, in array order.
+
+    Nearly always that is all of them. A compiled search for a valueless entry settles it
+    without a lambda; the filter runs on the few arrays that have one.
+    """
+    kept = F.filter(F.col(params), lambda entry: value_text(entry["value"]).isNotNull())
+    if set(value_type.fieldNames()) != set(SLOTS):
+        return kept
+    no_value = F.struct(
+        *[F.lit(None).cast(field.dataType).alias(field.name) for field in value_type.fields]
+    )
+    all_set = F.array_contains(F.col(f"{params}.value"), no_value) == F.lit(False)
+    return F.when(all_set, F.col(params)).otherwise(kept)
 
 
-def param_text(key: str, params: str) -> Column:
-    """Text of the first entry with this key, of entries that all carry a value."""
-    return value_text(F.get(F.col(f"{params}.value"), position_of(key, params)))
+def param_value(key: str, params: str) -> Column:
+    """The whole value of the first entry with this key; NULL when there is none."""
+    return F.get(F.col(f"{params}.value"), position_of(key, params))
 
 
 def has_pivot_key(params: str = PARAMS) -> Column:

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from ..functions.params import (
     ITEMS_KEY,
     PARAMS,
+    SLOTS,
     entries_with_value,
     has_pivot_key,
-    param_text,
+    param_value,
+    value_text,
 )
 
 # Columns that tell events apart; events equal on all of them are one.
@@ -38,11 +40,10 @@ SESSION_KEY = "ga_session_id"
 def explode_params(data: DataFrame, *carry: str) -> DataFrame:
     """One row per (event, parameter); events without parameters give none."""
     value = F.col("entry.value")
-    slots = ("string_value", "int_value", "float_value", "double_value")
     return data.select(*carry, F.explode(PARAMS).alias("entry")).select(
         *carry,
         F.col("entry.key").alias("key"),
-        *[value[slot].alias(slot) for slot in slots],
+        *[value[slot].alias(slot) for slot in SLOTS],
     )
 
 
@@ -95,28 +96,33 @@ def pivot_params(
     event collapse before they are shuffled.
     """
     wanted = list(keys) if SESSION_KEY in keys else [*keys, SESSION_KEY]
-    slots = {key: f"_text_{number}" for number, key in enumerate(wanted)}
+    names = {key: f"_param_{number}" for number, key in enumerate(wanted)}
     carried = [quoted(name) for name in carry]
 
+    value_type = events.schema[PARAMS].dataType.elementType["value"].dataType
     rows = events.where(has_pivot_key()).select(
         *carried,
-        entries_with_value().alias("_entries"),
+        entries_with_value(value_type).alias("_entries"),
         F.xxhash64(PARAMS).alias("_fingerprint"),
     )
-    texts = rows.select(
+    # Values first, their texts in a second projection: one search per key, not one per slot.
+    values = rows.select(
         *carried,
         "_fingerprint",
-        *[param_text(key, "_entries").alias(slot) for key, slot in slots.items()],
+        *[param_value(key, "_entries").alias(name) for key, name in names.items()],
+    )
+    texts = values.select(
+        *carried, "_fingerprint", *[value_text(F.col(n)).alias(n) for n in names.values()]
     )
     if merge:
         texts = texts.groupBy(*carried).agg(
             *[
-                F.min_by(slot, F.when(F.col(slot).isNotNull(), F.col("_fingerprint"))).alias(slot)
-                for slot in slots.values()
+                F.min_by(n, F.when(F.col(n).isNotNull(), F.col("_fingerprint"))).alias(n)
+                for n in names.values()
             ]
         )
     return texts.select(
         *carried,
-        F.col(slots[SESSION_KEY]).alias("session_text"),
-        F.struct(*[F.col(slots[key]).alias(key) for key in keys]).alias(PARAMS),
+        F.col(names[SESSION_KEY]).alias("session_text"),
+        F.struct(*[F.col(names[key]).alias(key) for key in keys]).alias(PARAMS),
     )
