@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from .layout import (
     FLAT,
-    cluster,
+    arrange,
     column_list,
     data_directory,
     only_day,
@@ -58,7 +58,8 @@ def file_source(
     ``where`` on a partition column prunes folders.
     """
     file_format = format.lower()
-    reject_nested_csv(file_format, schema)
+    if isinstance(schema, T.StructType):
+        reject_nested_csv(file_format, schema)
     location = None if path is None else data_directory(path, layout, run_date)
     return _file_source(file_format, location, schema, options, where)
 
@@ -72,6 +73,8 @@ def _file_source(
 ) -> Source:
     def read(spark: SparkSession) -> DataFrame:
         reader = spark.read.format(file_format).options(**(options or {}))
+        if isinstance(schema, str):
+            reject_nested_csv(file_format, T.StructType.fromDDL(schema))
         if schema is not None:
             reader = reader.schema(schema)
         data = reader.load(location) if location is not None else reader.load()
@@ -86,8 +89,12 @@ def parquet_sink(
     partition_by: str | Sequence[str] | None = None,
     cluster_by: str | Sequence[str] | None = None,
     run_date: object | None = None,
+    rebalance: bool = False,
 ) -> Sink:
-    return file_sink(path, mode, partition_by, "parquet", None, cluster_by, run_date)
+    """Parquet files; see ``file_sink``."""
+    return file_sink(
+        path, mode, partition_by, "parquet", None, cluster_by, run_date, rebalance
+    )
 
 
 def file_sink(
@@ -98,11 +105,13 @@ def file_sink(
     options: dict[str, Any] | None = None,
     cluster_by: str | Sequence[str] | None = None,
     run_date: object | None = None,
+    rebalance: bool = False,
 ) -> Sink:
     """Files under ``path``, optionally one folder per value of the partition columns.
 
     Mode ``overwrite_day`` replaces the folder of ``run_date`` only; the first partition
-    column is then the day. Other modes are Spark's.
+    column is then the day. Other modes are Spark's. Set ``rebalance`` for a write over
+    many partitions, which would otherwise leave one file per task and folder.
     """
     file_format = format.lower()
     partitions, clusters = column_list(partition_by), column_list(cluster_by)
@@ -116,7 +125,7 @@ def file_sink(
         reject_nested_csv(file_format, data.schema)
         if day is not None:
             data = only_day(data, partitions[0], day)
-        writer = cluster(data, partitions, clusters).write.format(file_format)
+        writer = arrange(data, partitions, clusters, rebalance).write.format(file_format)
         writer = writer.options(**(options or {}))
         if day is not None:
             writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -42,13 +42,9 @@ def nested_columns(schema: T.StructType) -> list[str]:
     return [field.name for field in schema.fields if isinstance(field.dataType, kinds)]
 
 
-def reject_nested_csv(file_format: str, schema: T.StructType | str | None) -> None:
+def reject_nested_csv(file_format: str, schema: T.StructType | None) -> None:
     """csv has no nested values: say so now rather than deep inside a job."""
-    if file_format != "csv" or schema is None:
-        return
-    if isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema)
-    nested = nested_columns(schema)
+    nested = nested_columns(schema) if file_format == "csv" and schema is not None else []
     if nested:
         raise ValueError(f"csv cannot hold nested columns {nested}; use parquet, orc or json")
 
@@ -62,6 +58,19 @@ def only_day(data: DataFrame, field: str, day: dt.date) -> DataFrame:
     return data.where(F.when(F.col(field) == F.lit(day), True).otherwise(F.raise_error(message)))
 
 
-def cluster(data: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
-    """Sort inside tasks, by partition first: the sort the writer needs anyway."""
+def arrange(
+    data: DataFrame,
+    partition_by: Sequence[str],
+    cluster_by: Sequence[str] = (),
+    rebalance: bool = False,
+) -> DataFrame:
+    """Distribute and sort rows for the files they go to.
+
+    Rebalancing brings the rows of a partition folder together, splits a folder that is
+    too big for one task and joins small ones, at the price of one shuffle; without it
+    every task writes a file into each folder it has rows for. The sort is by partition
+    first, which the writer needs anyway.
+    """
+    if rebalance and partition_by:
+        data = data.hint("rebalance", *partition_by)
     return data.sortWithinPartitions(*partition_by, *cluster_by) if cluster_by else data

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from .files import Sink, Source
-from .layout import cluster, column_list, only_day, parse_day
+from .layout import arrange, column_list, only_day, parse_day
 
 BACKFILL = "backfill"
 SCHEDULED = "scheduled"
@@ -38,7 +38,8 @@ def table_sink(
     """Replace a whole table (backfill) or bring it up to date (scheduled).
 
     A scheduled write replaces the partition of ``run_date`` when the table has a day
-    column, and appends when it has none. ``options`` may name a ``path`` for the files.
+    column, and appends when it has none. A backfill of a partitioned table is rebalanced
+    by day, as it holds many. ``options`` may name a ``path`` for the files.
     """
     if write_mode not in (BACKFILL, SCHEDULED):
         raise ValueError(f"unknown write_mode {write_mode!r}")
@@ -47,7 +48,8 @@ def table_sink(
     day = parse_day(run_date) if write_mode == SCHEDULED and partitions else None
 
     def save(data: DataFrame, mode: str) -> None:
-        writer = cluster(data, partitions, clusters).write.format(format)
+        many_days = write_mode == BACKFILL
+        writer = arrange(data, partitions, clusters, many_days).write.format(format)
         writer = writer.mode(mode).options(**(options or {}))
         if partitions:
             writer = writer.partitionBy(*partitions)
@@ -78,5 +80,5 @@ def _replace_partition(
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION (`{field}` = DATE'{day}') "
         f"SELECT {listed} FROM {{rows}}",
-        rows=cluster(rows, [], clusters),
+        rows=arrange(rows, [], clusters),
     )
