@@ -65,7 +65,7 @@ def param_value_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.select(
         "event_id",
         F.col("entry.key").alias("key"),
-        value_text(F.col("entry.value")).alias("value"),
+        F.expr(value_text("entry.value")).alias("value"),
     )
 
 

@@ -1,4 +1,4 @@
-"""Column expressions: parameters, identity, defaults."""
+"""Expressions: parameters, identity, defaults."""
 
 from .fields import (
     BATCH_COLUMNS,
@@ -12,6 +12,7 @@ from .params import (
     has_pivot_key,
     param_lookup,
     param_value,
+    slot_value,
     value_text,
 )
 
@@ -27,5 +28,6 @@ __all__ = [
     "param_lookup",
     "param_value",
     "session_id",
+    "slot_value",
     "value_text",
 ]

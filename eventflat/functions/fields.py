@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Columns an older export may lack, filled with 0.
 BATCH_COLUMNS = ("batch_event_index", "batch_page_id", "batch_ordering_id")
 
@@ -60,18 +57,18 @@ SESSION_TRAFFIC_SOURCE_LAST_CLICK = {
 }
 
 
-def blank_struct(names: tuple[str, ...]) -> Column:
-    """A struct whose fields are all the empty text."""
-    return F.struct(*[F.lit("").alias(name) for name in names])
+def blank_struct(names: tuple[str, ...]) -> str:
+    """A struct whose fields are all the empty text, as SQL."""
+    return "named_struct(" + ", ".join(f"'{name}', ''" for name in names) + ")"
 
 
-def default_traffic_columns() -> dict[str, Column]:
-    """The value of each optional traffic-source column when an export lacks it."""
-    last_click = [
-        blank_struct(names).alias(campaign)
+def default_traffic_columns() -> dict[str, str]:
+    """The SQL value of each optional traffic-source column when an export lacks it."""
+    campaigns = ", ".join(
+        f"'{campaign}', {blank_struct(names)}"
         for campaign, names in SESSION_TRAFFIC_SOURCE_LAST_CLICK.items()
-    ]
+    )
     return {
-        "session_traffic_source_last_click": F.struct(*last_click),
+        "session_traffic_source_last_click": f"named_struct({campaigns})",
         "collected_traffic_source": blank_struct(COLLECTED_TRAFFIC_SOURCE),
     }

@@ -1,25 +1,21 @@
-"""Session identity, event day and event time."""
+"""Session identity, event day and event time, as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from .params import slot_value
 
-from .params import param_lookup
 
-
-def session_id(session: Column | str, user: Column | str = "user_pseudo_id") -> Column:
+def session_id(session: str, user: str = "user_pseudo_id") -> str:
     """Client id and session number joined without separator; NULL if either is NULL."""
-    return F.concat(user, session)
+    return f"concat({user}, {session})"
 
 
-def event_day(text: Column | str = "event_date") -> Column:
+def event_day(text: str = "event_date") -> str:
     """The export's ``yyyyMMdd`` text as a date; malformed text is an error under ANSI."""
-    return F.to_date(text, "yyyyMMdd")
+    return f"to_date({text}, 'yyyyMMdd')"
 
 
-def event_millis() -> Column:
+def event_millis() -> str:
     """Ordering time of an event: its own clock if sent, else the export time, in ms."""
-    return F.coalesce(
-        param_lookup("custom_timestamp", "int_value"), F.expr("event_timestamp div 1000")
-    )
+    own = slot_value("custom_timestamp", "int_value")
+    return f"coalesce({own}, event_timestamp div 1000)"

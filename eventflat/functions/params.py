@@ -1,8 +1,9 @@
 """Expressions over the repeated key/value array ``event_params``.
 
-Look-ups go through ``array_position`` on the key array instead of a lambda: they stay
-inside whole-stage code generation, and a look-up of one typed slot lets the parquet
-scan skip the other slots.
+They are written as SQL text: a pivot over many keys is then built in one call instead of
+a dozen per key. Look-ups go through ``array_position`` on the key array instead of a
+lambda: they stay inside whole-stage code generation, and a look-up of one typed slot lets
+the parquet scan skip the other slots.
 """
 
 from __future__ import annotations
@@ -18,42 +19,58 @@ ITEMS_KEY = "items"
 SLOTS = ("string_value", "int_value", "float_value", "double_value")
 
 
-def value_text(value: Column) -> Column:
+def literal(text: str) -> str:
+    """A text as SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def quoted(name: str) -> str:
+    """A column name as SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def value_text(value: str) -> str:
     """A typed value as text: string, int, float, double, whichever is set first."""
-    return F.coalesce(*[value[slot].cast("string") for slot in SLOTS])
+    return "coalesce(" + ", ".join(f"cast({value}.{slot} as string)" for slot in SLOTS) + ")"
 
 
-def position_of(key: str, params: str = PARAMS) -> Column:
+def position_of(key: str, params: str = PARAMS) -> str:
     """Array index of the first entry with this key; -1 when there is none."""
-    return F.array_position(F.col(f"{params}.key"), F.lit(key)) - 1
+    return f"array_position({params}.key, {literal(key)}) - 1"
 
 
-def param_lookup(key: str, slot: str, params: str = PARAMS) -> Column:
+def param_value(key: str, params: str = PARAMS) -> str:
+    """The whole value of the first entry with this key; NULL when there is none."""
+    return f"get({params}.value, {position_of(key, params)})"
+
+
+def slot_value(key: str, slot: str, params: str = PARAMS) -> str:
     """One typed slot of the first entry with this key; NULL when there is none."""
-    return F.get(F.col(f"{params}.value.{slot}"), position_of(key, params))
+    return f"get({params}.value.{slot}, {position_of(key, params)})"
+
+
+def param_lookup(key: str, slot: str, params: str = PARAMS) -> Column:
+    """``slot_value`` as a column."""
+    return F.expr(slot_value(key, slot, params))
 
 
-def entries_with_value(value_type: T.StructType, params: str = PARAMS) -> Column:
+def entries_with_value(value_type: T.StructType, params: str = PARAMS) -> str:
     """The entries that carry a value, in array order.
 
     Nearly always that is all of them. A compiled search for a valueless entry settles it
     without a lambda; the filter runs on the few arrays that have one.
     """
-    kept = F.filter(F.col(params), lambda entry: value_text(entry["value"]).isNotNull())
+    kept = f"filter({params}, entry -> {value_text('entry.value')} is not null)"
     if set(value_type.fieldNames()) != set(SLOTS):
         return kept
-    no_value = F.struct(
-        *[F.lit(None).cast(field.dataType).alias(field.name) for field in value_type.fields]
+    fields = ", ".join(
+        f"{literal(field.name)}, cast(null as {field.dataType.simpleString()})"
+        for field in value_type.fields
     )
-    all_set = F.array_contains(F.col(f"{params}.value"), no_value) == F.lit(False)
-    return F.when(all_set, F.col(params)).otherwise(kept)
-
-
-def param_value(key: str, params: str) -> Column:
-    """The whole value of the first entry with this key; NULL when there is none."""
-    return F.get(F.col(f"{params}.value"), position_of(key, params))
+    valueless = f"array_contains({params}.value, named_struct({fields}))"
+    return f"if({valueless} = false, {params}, {kept})"
 
 
-def has_pivot_key(params: str = PARAMS) -> Column:
+def has_pivot_key(params: str = PARAMS) -> str:
     """True when some key other than ``items`` is present."""
-    return F.exists(F.col(params), lambda entry: entry["key"] != ITEMS_KEY)
+    return f"exists({params}, entry -> entry.key <> {literal(ITEMS_KEY)})"

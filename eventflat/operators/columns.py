@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..functions.fields import BATCH_COLUMNS, default_traffic_columns
 
 
-def add_missing(data: DataFrame, defaults: dict[str, Column]) -> DataFrame:
+def add_missing(data: DataFrame, defaults: dict[str, str]) -> DataFrame:
     """Add the columns that are absent; a column that is there keeps its NULLs."""
-    missing = {name: value for name, value in defaults.items() if name not in data.columns}
-    return data.withColumns(missing) if missing else data
+    missing = [f"{value} as {name}" for name, value in defaults.items() if name not in data.columns]
+    return data.selectExpr("*", *missing) if missing else data
 
 
 def with_batch_defaults(data: DataFrame) -> DataFrame:
-    return add_missing(data, {name: F.lit(0).cast("long") for name in BATCH_COLUMNS})
+    return add_missing(data, dict.fromkeys(BATCH_COLUMNS, "0L"))
 
 
 def with_traffic_defaults(data: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.params import quoted
 from .filters import keep_events_with_items
 
 # Flattened events equal on these share one items array.
@@ -27,22 +28,19 @@ def recollect_items(flat: DataFrame) -> DataFrame:
     columns are those of the first event by name, then by a fingerprint of the row; the
     items follow the same order, then their place in the array.
     """
-    rest = [name for name in flat.columns if name not in (*ITEMS_GRAIN, "items")]
-    hashed = [field.name for field in flat.schema.fields if _hashable(field.dataType)]
-    order = F.struct("event_name", F.xxhash64(*[f"`{name}`" for name in hashed]).alias("tie"))
-
-    events = keep_events_with_items(flat).select(
+    rest = [quoted(name) for name in flat.columns if name not in (*ITEMS_GRAIN, "items")]
+    hashed = [quoted(field.name) for field in flat.schema.fields if _hashable(field.dataType)]
+    events = keep_events_with_items(flat).selectExpr(
         *ITEMS_GRAIN,
         "items",
-        order.alias("_order"),
-        F.struct(*[f"`{name}`" for name in rest]).alias("_rest"),
+        f"struct(event_name, xxhash64({', '.join(hashed)}) as tie) as _order",
+        f"struct({', '.join(rest)}) as _rest",
     )
     merged = events.groupBy(*ITEMS_GRAIN).agg(
-        F.min_by("_rest", "_order").alias("_rest"),
-        F.array_sort(F.collect_list(F.struct("_order", "items"))).alias("_parts"),
+        F.expr("min_by(_rest, _order) as _rest"),
+        F.expr("array_sort(collect_list(struct(_order, items))) as _parts"),
+    )
+    items = "filter(flatten(_parts.items), item -> item is not null) as items"
+    return merged.selectExpr(*ITEMS_GRAIN, items, "_rest.*").select(
+        *[quoted(name) for name in flat.columns]
     )
-    items = F.filter(F.flatten(F.col("_parts.items")), lambda item: item.isNotNull())
-    found = {name: F.col(name) for name in ITEMS_GRAIN}
-    found |= {name: F.col(f"_rest.`{name}`") for name in rest}
-    found["items"] = items
-    return merged.select(*[found[name].alias(name) for name in flat.columns])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.params import (
@@ -13,7 +13,9 @@ from ..functions.params import (
     SLOTS,
     entries_with_value,
     has_pivot_key,
+    literal,
     param_value,
+    quoted,
     value_text,
 )
 
@@ -39,12 +41,8 @@ SESSION_KEY = "ga_session_id"
 
 def explode_params(data: DataFrame, *carry: str) -> DataFrame:
     """One row per (event, parameter); events without parameters give none."""
-    value = F.col("entry.value")
-    return data.select(*carry, F.explode(PARAMS).alias("entry")).select(
-        *carry,
-        F.col("entry.key").alias("key"),
-        *[value[slot].alias(slot) for slot in SLOTS],
-    )
+    entries = data.select(*carry, F.explode(PARAMS).alias("entry"))
+    return entries.select(*carry, "entry.key", *[f"entry.value.{slot}" for slot in SLOTS])
 
 
 def distinct_param_keys(data: DataFrame) -> DataFrame:
@@ -79,10 +77,6 @@ def struct_keys(keys: Sequence[str], case_sensitive: bool = False) -> list[str]:
     return fields
 
 
-def quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def pivot_params(
     events: DataFrame, keys: Sequence[str], carry: Sequence[str], merge: bool = True
 ) -> DataFrame:
@@ -100,29 +94,30 @@ def pivot_params(
     carried = [quoted(name) for name in carry]
 
     value_type = events.schema[PARAMS].dataType.elementType["value"].dataType
-    rows = events.where(has_pivot_key()).select(
+    rows = events.where(has_pivot_key()).selectExpr(
         *carried,
-        entries_with_value(value_type).alias("_entries"),
-        F.xxhash64(PARAMS).alias("_fingerprint"),
+        f"{entries_with_value(value_type)} as _entries",
+        f"xxhash64({PARAMS}) as _fingerprint",
     )
     # Values first, their texts in a second projection: one search per key, not one per slot.
-    values = rows.select(
+    values = rows.selectExpr(
         *carried,
         "_fingerprint",
-        *[param_value(key, "_entries").alias(name) for key, name in names.items()],
+        *[f"{param_value(key, '_entries')} as {name}" for key, name in names.items()],
     )
-    texts = values.select(
-        *carried, "_fingerprint", *[value_text(F.col(n)).alias(n) for n in names.values()]
+    texts = values.selectExpr(
+        *carried, "_fingerprint", *[f"{value_text(n)} as {n}" for n in names.values()]
     )
     if merge:
         texts = texts.groupBy(*carried).agg(
             *[
-                F.min_by(n, F.when(F.col(n).isNotNull(), F.col("_fingerprint"))).alias(n)
+                F.expr(f"min_by({n}, if({n} is null, null, _fingerprint)) as {n}")
                 for n in names.values()
             ]
         )
-    return texts.select(
+    fields = ", ".join(f"{literal(key)}, {names[key]}" for key in keys)
+    return texts.selectExpr(
         *carried,
-        F.col(names[SESSION_KEY]).alias("session_text"),
-        F.struct(*[F.col(names[key]).alias(key) for key in keys]).alias(PARAMS),
+        f"{names[SESSION_KEY]} as session_text",
+        f"named_struct({fields}) as {PARAMS}",
     )

@@ -8,12 +8,12 @@ the days of a session, with a window over those few rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fields import default_traffic_columns
 from ..functions.identity import event_day, event_millis, session_id
-from ..functions.params import param_lookup
+from ..functions.params import param_lookup, slot_value
 
 SESSION_INPUT = (
     "event_date",
@@ -54,6 +54,9 @@ SESSION_COLUMNS = (
     "is_engaged_session",
 )
 
+# The place of an event in its session; ties beyond it are settled by the payload.
+MOMENT = ("ordering_timestamp", "event_timestamp", "event_name")
+
 SESSION_DAY = ("ga_session_id", "user_pseudo_id", "session_date")
 
 
@@ -65,44 +68,43 @@ def select_session_input(data: DataFrame) -> DataFrame:
 
 def events_in_sessions(data: DataFrame) -> DataFrame:
     """Events with a client id and an integer session parameter, added as a column."""
-    session = param_lookup("ga_session_id", "int_value")
     return (
-        data.where(F.col("user_pseudo_id").isNotNull())
-        .withColumn("ga_session_id", session)
-        .where(F.col("ga_session_id").isNotNull())
+        data.where("user_pseudo_id is not null")
+        .withColumn("ga_session_id", param_lookup("ga_session_id", "int_value"))
+        .where("ga_session_id is not null")
     )
 
 
 def with_session_params(events: DataFrame) -> DataFrame:
     """Typed parameters and ordering time of each event of a session."""
-    return events.withColumns(
-        {
-            "session_date": event_day(),
-            "ordering_timestamp": event_millis(),
-            "ga_session_number": param_lookup("ga_session_number", "int_value"),
-            "page_location": param_lookup("page_location", "string_value"),
-            "page_referrer": param_lookup("page_referrer", "string_value"),
-            "session_engaged": param_lookup("session_engaged", "string_value"),
-        }
+    return events.selectExpr(
+        "*",
+        f"{event_day()} as session_date",
+        f"{event_millis()} as ordering_timestamp",
+        f"{slot_value('ga_session_number', 'int_value')} as ga_session_number",
+        f"{slot_value('page_location', 'string_value')} as page_location",
+        f"{slot_value('page_referrer', 'string_value')} as page_referrer",
+        f"{slot_value('session_engaged', 'string_value')} as session_engaged",
     )
 
 
-def _at(*payload: str) -> Column:
+def _at(*payload: str) -> str:
     """Payload behind the event's place in time: a minimum of it is the first event's."""
-    return F.struct("ordering_timestamp", "event_timestamp", "event_name", *payload)
+    return "struct(" + ", ".join((*MOMENT, *payload)) + ")"
 
 
 def session_days(events: DataFrame) -> DataFrame:
     """One row per (client, session, day) with features still tied to their moment."""
     traffic = [name for name in TRAFFIC_COLUMNS if name in events.columns]
-    return events.groupBy(*SESSION_DAY).agg(
-        F.max("ga_session_number").alias("ga_session_number"),
-        F.max("user_id").alias("user_id"),
-        F.max("session_engaged").alias("session_engaged"),
-        F.min(_at("page_location", "page_referrer", "device", "geo")).alias("first_event"),
-        F.max(_at("page_location")).alias("last_event"),
-        *[F.min(F.when(F.col(name).isNotNull(), _at(name))).alias(name) for name in traffic],
-    )
+    features = [
+        "max(ga_session_number) as ga_session_number",
+        "max(user_id) as user_id",
+        "max(session_engaged) as session_engaged",
+        f"min({_at('page_location', 'page_referrer', 'device', 'geo')}) as first_event",
+        f"max({_at('page_location')}) as last_event",
+        *[f"min({_at(name)}) filter (where {name} is not null) as {name}" for name in traffic],
+    ]
+    return events.groupBy(*SESSION_DAY).agg(*[F.expr(feature) for feature in features])
 
 
 def session_rows(days: DataFrame) -> DataFrame:
@@ -111,31 +113,27 @@ def session_rows(days: DataFrame) -> DataFrame:
     The window is over the joined session id, as the export's consumers know it: two
     clients whose joined ids coincide share features but stay separate rows.
     """
-    whole = Window.partitionBy("session_id")
-    spread = days.withColumn("session_id", session_id("ga_session_id")).withColumns(
-        {
-            "ga_session_number": F.max("ga_session_number").over(whole),
-            "user_id": F.max("user_id").over(whole),
-            "first_event": F.min("first_event").over(whole),
-            "last_event": F.max("last_event").over(whole),
-            **{
-                name: F.min(name).over(whole)
-                for name in TRAFFIC_COLUMNS
-                if name in days.columns
-            },
-        }
+    traffic = [name for name in TRAFFIC_COLUMNS if name in days.columns]
+    least = ["first_event", *traffic]
+    greatest = ["last_event", "ga_session_number", "user_id"]
+    whole = "over (partition by session_id)"
+    spread = days.selectExpr("*", f"{session_id('ga_session_id')} as session_id").selectExpr(
+        "session_id",
+        *SESSION_DAY,
+        "coalesce(session_engaged = '1', false) as is_engaged_session",
+        *[f"min({name}) {whole} as {name}" for name in least],
+        *[f"max({name}) {whole} as {name}" for name in greatest],
     )
-    found = {name: F.col(name) for name in SESSION_COLUMNS if name in spread.columns}
+    found = {name: name for name in SESSION_COLUMNS}
     found |= default_traffic_columns()
-    found |= {name: F.col(name)[name] for name in TRAFFIC_COLUMNS if name in days.columns}
+    found |= {name: f"{name}.{name}" for name in traffic}
     found |= {
-        "session_start_timestamp": F.col("first_event.ordering_timestamp"),
-        "session_end_timestamp": F.col("last_event.ordering_timestamp"),
-        "session_landing_page": F.col("first_event.page_location"),
-        "session_exit_page": F.col("last_event.page_location"),
-        "session_referrer_page": F.col("first_event.page_referrer"),
-        "device": F.col("first_event.device"),
-        "geo": F.col("first_event.geo"),
-        "is_engaged_session": F.coalesce(F.col("session_engaged") == "1", F.lit(False)),
+        "session_start_timestamp": "first_event.ordering_timestamp",
+        "session_end_timestamp": "last_event.ordering_timestamp",
+        "session_landing_page": "first_event.page_location",
+        "session_exit_page": "last_event.page_location",
+        "session_referrer_page": "first_event.page_referrer",
+        "device": "first_event.device",
+        "geo": "first_event.geo",
     }
-    return spread.select(*[found[name].alias(name) for name in SESSION_COLUMNS])
+    return spread.selectExpr(*[f"{found[name]} as {name}" for name in SESSION_COLUMNS])

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.identity import event_day, session_id
-from ..functions.params import has_pivot_key
+from ..functions.params import has_pivot_key, quoted
 from ..operators.columns import with_batch_defaults
 from ..operators.filters import keep_events, keep_events_with_items
 from ..operators.items import recollect_items
@@ -16,7 +15,6 @@ from ..operators.params import (
     EVENT_IDENTITY,
     discover_param_keys,
     pivot_params,
-    quoted,
     struct_keys,
 )
 
@@ -62,7 +60,7 @@ def flatten_events(
     events = with_batch_defaults(keep_events(data, event_name, event_list, event_pattern))
     keys = discover_param_keys(events, max_keys) if param_keys is None else list(param_keys)
     if param_keys is None and not keys:
-        events = events.where(F.lit(False))
+        events = events.where("false")
     if num_partitions:
         events = events.repartition(num_partitions)
 
@@ -78,9 +76,13 @@ def flatten_events(
         [*EVENT_IDENTITY, *extras],
         merge=not assume_unique,
     )
-    flat = pivoted.withColumns(
-        {"session_id": session_id("session_text"), "event_date": event_day()}
-    ).select(*EVENT_COLUMNS, *[quoted(name) for name in extras])
+    computed = {
+        "session_id": f"{session_id('session_text')} as session_id",
+        "event_date": f"{event_day()} as event_date",
+    }
+    flat = pivoted.selectExpr(
+        *[computed.get(name, name) for name in EVENT_COLUMNS], *[quoted(name) for name in extras]
+    )
     return recollect_items(flat) if event_type == ECOMMERCE else flat
 
 
