@@ -2,8 +2,9 @@
 
 ``BENCH_SF_DIR`` names the folder with the test tables, ``BENCH_CPUS`` the local cores.
 The nested events are derived and stored once, outside the timing; each query then reads
-them from parquet and is drained by a sink that keeps nothing. All queries
-take turns in four rounds, and the least time of each counts. ``plain`` holds the same two jobs as explode-and-pivot and as one window.
+them from parquet and is drained by a sink that keeps nothing. All queries take turns in
+four rounds, and the least time of each counts. ``plain`` holds the same two jobs as
+explode-and-pivot and as one window.
 """
 
 from __future__ import annotations

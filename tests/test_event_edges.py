@@ -87,7 +87,10 @@ def test_x5_null_identity_columns_are_equal(spark):
 
 
 def test_x6_awkward_keys(spark):
-    keys = ["a.b", "event_date", "geo", "it's", "key", "say \"hi\"", "`tick`", "items_", "a\\b\\\\", "line\n", "ü", "x\\'"]
+    keys = [
+        "a.b", "event_date", "geo", "it's", "key",
+        "say \"hi\"", "`tick`", "items_", "a\\b\\\\", "line\n", "ü", "x\\'",
+    ]
     events = frame(spark, {"event_params": params(*[(key, key) for key in keys])})
     assert structs(flatten_events(events, "view")) == [{key: key for key in sorted(keys)}]
 
