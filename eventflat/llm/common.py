@@ -68,6 +68,11 @@ def cut(data: DataFrame) -> DataFrame:
     return data.checkpoint()
 
 
+def small(data: DataFrame, rows: int) -> DataFrame:
+    """The frame marked for broadcast if it has no more than that many (short) rows."""
+    return F.broadcast(data) if data.count() <= rows else data
+
+
 def without(data: DataFrame, *names: str) -> DataFrame:
     """The frame without columns of these names, by the session's rule for case."""
     exact = data.sparkSession.conf.get("spark.sql.caseSensitive") == "true"

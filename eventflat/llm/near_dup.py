@@ -9,11 +9,14 @@ that of a full MinHash at the cost of a few passes over the shingles. Coordinate
 of ``rows`` give bucket keys: two sets of similarity 0.8 share none of 52 keys of 8 rows
 with a chance of 7 in 100,000.
 
-Documents with the same set are one node. Within a bucket every node is first compared with
-the bucket's least and greatest node only; links give components. Then, in buckets that
+Documents with the same set are one node. In rounds, every node is compared with one node
+that shares a bucket with it but no component yet, the one that the round's hash puts first,
+so a large group soon hangs together by a few links for each node. Then, in buckets that
 still hold several components, all pairs across components are compared: pairs inside a
 component cannot change the result. So large groups of copies cost a line, not a square.
-Every comparison intersects the full sets (64-bit shingle hashes).
+Pairs whose sketches differ in far more lowest bits than chance allows at the wanted
+similarity (4.5 standard deviations) are not compared. Every comparison intersects the full
+sets (64-bit shingle hashes).
 
 Defined results: a null or empty text, or one without words, has an empty set and is a
 component of its own. Rows are the documents: rows that repeat an id with another text are
@@ -32,10 +35,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import coded_words, components, cut, mixed, ship, slices, stored, texts_of
+from .common import coded_words, components, cut, mixed, ship, slices, small, stored, texts_of
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Nodes (24 bytes each) that may be broadcast to pick their texts; more are joined.
+FEW_NODES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -46,6 +51,7 @@ class Settings:
     percent: int = 80
     rows: int = 8
     bands: int = 52
+    rounds: int = 8
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -108,17 +114,38 @@ def band_keys(sketched: np.ndarray, rows: int, bands: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def lowest_bits(sketched: np.ndarray) -> np.ndarray:
+    """The lowest bit of each coordinate, packed into 64-bit numbers."""
+    bits = np.packbits((sketched & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little")
+    wide = np.zeros((len(bits), -(-bits.shape[1] // 8) * 8), dtype=np.uint8)
+    wide[:, : bits.shape[1]] = bits
+    return wide.view(np.int64)
+
+
+def alike(a: str, b: str, settings: Settings):
+    """Whether two columns of lowest bits may belong to sets that are similar enough.
+
+    A coordinate's bits differ with chance (1 - similarity) / 2.
+    """
+    size = settings.rows * settings.bands
+    chance = (1 - settings.percent / 100) / 2
+    most = size * chance + 4.5 * (size * chance * (1 - chance)) ** 0.5
+    parts = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(-(-size // 64))]
+    return sum(parts[1:], parts[0]) <= int(most) + 1
+
+
 def fingerprint(values: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(values.tobytes())
 
 
 def sketched(documents: DataFrame, settings: Settings) -> DataFrame:
-    """Columns doc_id, text_key, n_shingles, set_key, keys of every row."""
+    """Columns doc_id, text_key, n_shingles, set_key, keys, bits of every row."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = shingle_sets(texts_of(batch, "text"), settings.words)
-            keys = band_keys(sketches(sets, settings.rows * settings.bands), settings.rows, settings.bands)
+            drawn = sketches(sets, settings.rows * settings.bands)
+            keys, bits = band_keys(drawn, settings.rows, settings.bands), lowest_bits(drawn)
             full = [len(s) > 0 for s in sets]
             yield pa.RecordBatch.from_pydict(
                 {
@@ -127,23 +154,22 @@ def sketched(documents: DataFrame, settings: Settings) -> DataFrame:
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                     "set_key": pa.array([fingerprint(s) if f else None for s, f in zip(sets, full)], pa.binary()),
                     "keys": pa.array([k if f else None for k, f in zip(keys, full)], pa.list_(pa.int64())),
+                    "bits": pa.array([k if f else None for k, f in zip(bits, full)], pa.list_(pa.int64())),
                 }
             )
 
     rows = ship(documents).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text"
     )
-    schema = "doc_id long, text_key long, n_shingles long, set_key binary, keys array<long>"
+    schema = "doc_id long, text_key long, n_shingles long, set_key binary, keys array<long>, bits array<long>"
     return rows.mapInArrow(sketch, schema)
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) of nodes whose full sets are similar enough.
+def full_sets(wanted: DataFrame, documents: DataFrame, settings: Settings) -> DataFrame:
+    """Columns node, items (the full set) of nodes given as (node, doc_id, text_key).
 
-    Sets are made again from the texts of the nodes in question, not kept for all documents.
+    Sets are made again from the texts of these nodes, not kept for all documents.
     """
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = stored(nodes.join(wanted, "node").select("node", "doc_id", "text_key"), "near-dup-wanted")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -157,23 +183,27 @@ def verified(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, settings:
         F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("k"), "text"
     )
     same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("text_key"))
-    texts = rows.join(wanted, same).select("node", "text")
+    texts = rows.join(small(wanted, FEW_NODES), same).select("node", "text")
     # Rows that repeat id and text give one set.
-    sets = texts.mapInArrow(make, "node long, items array<long>").dropDuplicates(["node"])
-    sets = stored(sets, "near-dup-sets")
+    return texts.mapInArrow(make, "node long, items array<long>").dropDuplicates(["node"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose full sets are similar enough."""
     of_a = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     of_b = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
-    enough = 100 * F.col("both") >= settings.percent * (F.size("x") + F.size("y") - F.col("both"))
+    enough = 100 * F.col("both") >= percent * (F.size("x") + F.size("y") - F.col("both"))
     compared = pairs.join(of_a, "a").join(of_b, "b").withColumn("both", both)
     return compared.where(enough).select("a", "b")
 
 
 def bucket_members(nodes: DataFrame) -> DataFrame:
-    """Columns key, node, least, greatest: nodes of all buckets that hold more than one."""
+    """Columns key, node, n_shingles, bits: nodes of all buckets that hold more than one."""
     rows = nodes.select("node", F.explode("keys").alias("key"))
     ends = rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("greatest"))
-    return rows.join(ends.where("least < greatest"), "key")
+    rows = rows.join(ends.where("least < greatest").select("key"), "key")
+    return rows.join(nodes.select("node", "n_shingles", "bits"), "node")
 
 
 def similar_sizes(a: str, b: str, percent: int):
@@ -181,43 +211,45 @@ def similar_sizes(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def hub_pairs(members: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Each member with the ends of its bucket: distinct pairs a < b of similar size."""
-    ends = F.array(F.col("least"), F.col("greatest"))
-    pairs = members.select("node", F.explode(ends).alias("hub")).where("node <> hub")
-    pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-    return with_sizes(pairs.distinct(), sizes, percent)
+def with_components(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members with their component, of buckets that hold more than one component."""
+    if labels is None:
+        return members.withColumn("component", F.col("node"))
+    rows = members.join(labels, "node", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "node"))
+    ends = rows.groupBy("key").agg(F.min("component").alias("l"), F.max("component").alias("g"))
+    return rows.join(ends.where("l < g").select("key"), "key")
 
 
-def with_sizes(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    of_a = sizes.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"))
-    of_b = sizes.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"))
-    joined = pairs.join(of_a, "a").join(of_b, "b")
-    return joined.where(similar_sizes("na", "nb", percent)).select("a", "b")
+def round_pairs(rows: DataFrame, turn: int, settings: Settings) -> DataFrame:
+    """At most one pair per node: with the first node, by the round's hash, of one bucket.
+
+    The hash is another in each bucket, so that no single node decides a round.
+    """
+    order = F.xxhash64(F.lit(turn), "key", "node").alias("order")
+    first = rows.groupBy("key").agg(F.min(F.struct(order, "node", "component", "n_shingles", "bits")).alias("hub"))
+    near = rows.join(first, "key").where("component <> hub.component")
+    near = near.where(similar_sizes("n_shingles", "hub.n_shingles", settings.percent))
+    near = near.where(alike("bits", "hub.bits", settings))
+    pairs = near.groupBy("node").agg(F.min(F.struct("hub.order", "hub.node")).alias("hub"))
+    return pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
-def pairs_across(members: DataFrame, labels: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def pairs_across(rows: DataFrame, settings: Settings) -> DataFrame:
     """Distinct pairs of nodes that share a bucket but no component.
 
-    In each bucket the members outside the component of the least node meet all others.
+    In each bucket the members outside one main component meet all others.
     """
-    of_least = labels.select(F.col("node").alias("least"), F.col("component").alias("main"))
-    rows = (
-        members.join(labels, "node", "left").join(of_least, "least", "left").join(sizes, "node")
-        .select(
-            "key", "node", "n_shingles",
-            F.coalesce("component", "node").alias("component"),
-            F.coalesce("main", "least").alias("main"),
-        )
-    )
-    rows = stored(rows, "near-dup-members")
+    main = rows.groupBy("key").agg(F.mode("component", deterministic=True).alias("main"))
+    rows = stored(rows.join(main, "key"), "near-dup-members")
     others = rows.where("component <> main")
     x, y = others.alias("x"), rows.alias("y")
     fits = (
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.component") != F.col("y.component"))
         & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-        & similar_sizes("x.n_shingles", "y.n_shingles", percent)
+        & similar_sizes("x.n_shingles", "y.n_shingles", settings.percent)
+        & alike("x.bits", "y.bits", settings)
     )
     pairs = x.join(y, fits).select(
         F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
@@ -225,17 +257,30 @@ def pairs_across(members: DataFrame, labels: DataFrame, sizes: DataFrame, percen
     return pairs.distinct()
 
 
-def node_components(nodes: DataFrame, documents: DataFrame, settings: Settings) -> DataFrame:
-    """Columns node, component of every node that is linked."""
-    sizes = nodes.select("node", "n_shingles")
-    members = stored(bucket_members(nodes.where("n_shingles > 0")), "near-dup-buckets")
-    first = stored(hub_pairs(members, sizes, settings.percent), "near-dup-pairs")
-    links = stored(verified(first, nodes, documents, settings), "near-dup-links")
-    labels = components(links)
-    across = stored(pairs_across(members, labels, sizes, settings.percent), "near-dup-across")
-    across = across.join(first, ["a", "b"], "left_anti")
-    more = stored(verified(stored(across, "near-dup-rest"), nodes, documents, settings), "near-dup-more")
-    return labels if more.isEmpty() else components(links.union(more))
+def node_components(nodes: DataFrame, documents: DataFrame, settings: Settings) -> DataFrame | None:
+    """Columns node, component of every node that is linked; None if none is."""
+    members = stored(bucket_members(nodes), "near-dup-buckets")
+    wanted = members.select("node").distinct()
+    wanted = stored(nodes.join(wanted, "node").select("node", "doc_id", "text_key"), "near-dup-wanted")
+    sets = stored(full_sets(wanted, documents, settings), "near-dup-sets")
+    links, labels, rows = None, None, members.withColumn("component", F.col("node"))
+    for turn in range(settings.rounds):
+        pairs = cut(round_pairs(rows, turn, settings))
+        tried = pairs.count()
+        found = cut(verified(pairs, sets, settings.percent))
+        new = found.count()
+        if new:
+            links = found if links is None else links.union(found)
+            labels = components(links)
+            rows = cut(with_components(members, labels))
+        # Where a round links few of its pairs, the rest are pairs to settle one by one.
+        if 20 * new <= tried:
+            break
+    across = cut(pairs_across(rows, settings))
+    more = cut(verified(across, sets, settings.percent))
+    if more.isEmpty():
+        return labels
+    return components(more if links is None else links.union(more))
 
 
 def near_duplicates(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -247,6 +292,8 @@ def near_duplicates(documents: DataFrame, settings: Settings = Settings()) -> Da
     distinct = rows.where("n_shingles > 0").dropDuplicates(["set_key"])
     nodes = stored(distinct.withColumn("node", F.monotonically_increasing_id()), "near-dup-nodes")
     labels = node_components(nodes, documents, settings)
+    if labels is None:
+        labels = nodes.select("node", F.col("node").alias("component")).limit(0)
     least = rows.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("least"))
     named = (
         nodes.select("set_key", "node").join(least, "set_key").join(labels, "node", "left")
@@ -255,7 +302,7 @@ def near_duplicates(documents: DataFrame, settings: Settings = Settings()) -> Da
     named = cut(named)
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
     by_set = named.join(ids, "component").select("set_key", "component_id", "component")
-    found = rows.drop("keys").join(by_set, "set_key", "left")
+    found = rows.drop("keys", "bits").join(by_set, "set_key", "left")
     least_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return found.withColumn("component_id", least_id).select(
         "doc_id", "n_shingles", "component_id",
