@@ -153,9 +153,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Least node reachable over ``links`` for each linked node: columns node, component.
 
     Contraction: each node takes its least neighbour (or itself) as parent, parents are
-    doubled twice, links move to the parents, and links inside one parent vanish. A round
-    removes every node that has a smaller neighbour, so rounds are logarithmic. Aggregates
-    are minima, combined before the shuffle: a node with very many links is no hot spot.
+    doubled until they are roots, links move to the roots, and links inside one vanish. A
+    round leaves the nodes without a smaller neighbour, half of them at most, so rounds and
+    doublings are logarithmic. Aggregates are minima, combined before the shuffle: a node
+    with very many links is no hot spot.
     """
     edges = cut(links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct())
     labels = None
@@ -165,10 +166,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             F.col("a").alias("node"), F.least("a", "least").alias("parent")
         )
         parents = cut(parents)
-        for _ in range(2):
+        rising = True
+        while rising:
             upper = parents.select(F.col("node").alias("parent"), F.col("parent").alias("top"))
-            parents = parents.join(upper, "parent").select("node", F.col("top").alias("parent"))
-        parents = cut(parents)
+            above = cut(parents.join(upper, "parent"))
+            rising = not above.where("top <> parent").isEmpty()
+            parents = above.select("node", F.col("top").alias("parent"))
         if labels is None:
             labels = parents.withColumnRenamed("parent", "component")
         else:

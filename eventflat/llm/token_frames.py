@@ -151,7 +151,7 @@ def write_frames(documents: DataFrame, path: str, folder: str, end_id: int = 2)
             for doc_id, content in zip(ids, encoded(texts_of(batch, "text"), path, end_id)):
                 if writer is None:
                     system.create_dir(base, recursive=True)
-                    stream = system.open_output_stream(own)
+                    stream = system.open_output_stream(own, compression=None)
                     writer = FrameWriter(stream)
                 writer.document(doc_id, content)
         if writer is None:

@@ -109,7 +109,7 @@ def write_archives(pages: DataFrame, folder: str) -> None:
                 if stream is None:
                     system.create_dir(base, recursive=True)
                     own = f"{base}/.pages-{task.partitionId()}-{number}-{task.taskAttemptId()}"
-                    stream = system.open_output_stream(own)
+                    stream = system.open_output_stream(own, compression=None)
                 packed = record(row)
                 stream.write(packed)
                 size += len(packed)
