@@ -51,13 +51,14 @@ def distinct_param_keys(data: DataFrame) -> DataFrame:
     return keys.where(F.col("key") != ITEMS_KEY).distinct()
 
 
-def discover_param_keys(data: DataFrame, max_keys: int = 10_000) -> list[str]:
+def discover_param_keys(data: DataFrame, max_keys: int | None = None) -> list[str]:
     """The keys in use, sorted, on the driver: they become field names of the output.
 
-    At most ``max_keys + 1`` short rows are fetched; more keys than that are an error.
+    There is no limit unless the caller sets one; more than ``max_keys`` are then an error.
     """
-    rows = distinct_param_keys(data).limit(max_keys + 1).collect()
-    if len(rows) > max_keys:
+    keys = distinct_param_keys(data)
+    rows = (keys if max_keys is None else keys.limit(max_keys + 1)).collect()
+    if max_keys is not None and len(rows) > max_keys:
         raise ValueError(
             f"more than {max_keys} distinct parameter keys; raise max_keys or name param_keys"
         )

@@ -48,7 +48,7 @@ def flatten_events(
     param_keys: Sequence[str] | None = None,
     assume_unique: bool = False,
     num_partitions: int | None = None,
-    max_keys: int = 10_000,
+    max_keys: int | None = None,
 ) -> DataFrame:
     """One row per event of the kept names, parameters as fields of a struct.
 

@@ -78,12 +78,13 @@ def run_job(spark: SparkSession, spec: dict[str, Any]) -> dict[str, Any]:
         return report
     if job == "flatten_events" and params.get("param_keys") is None:
         kept = keep_events(data, **_known(keep_events, params))
-        params["param_keys"] = discover_param_keys(kept, params.get("max_keys", 10_000))
+        params["param_keys"] = discover_param_keys(kept, params.get("max_keys"))
     if spec.get("count_input"):
         data, rows_read = count_rows(data, "rows_read")
     result, rows_written = count_rows(transform(data, **params), "rows_written")
     write(result)
-    report.update(written=True, rows_written=rows_written.get["rows"])
+    written = rows_written.get["rows"]
+    report.update(written=written > 0, rows_written=written)
     if spec.get("count_input"):
         report["rows_read"] = rows_read.get["rows"]
     return report

@@ -1,0 +1,70 @@
+"""Table writes match nested fields by name; new keys are added or refused by name."""
+
+from __future__ import annotations
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventflat.operators import discover_param_keys
+from eventflat.sources import table_sink
+
+
+@pytest.fixture
+def table(spark):
+    name = f"fields_{uuid.uuid4().hex}"
+    yield name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def rows(spark, day, **params):
+    fields = [F.lit(value).alias(key) for key, value in params.items()]
+    return spark.range(1).select(
+        F.lit(day).cast("date").alias("event_date"), F.struct(*fields).alias("event_params")
+    )
+
+
+def scheduled(table, day):
+    return table_sink(table, "scheduled", "event_date", run_date=day)
+
+
+@pytest.mark.parametrize("keys", [{"b": "B2", "a": "A2"}, {"b": "B2"}])
+def test_day_fields_go_by_name(spark, table, keys):
+    scheduled(table, "2024-01-14")(rows(spark, "2024-01-14", a="A1", b="B1"))
+    scheduled(table, "2024-01-15")(rows(spark, "2024-01-15", **keys))
+    got = spark.table(table).where("event_date = '2024-01-15'").select("event_params.*").first()
+    assert got["b"] == "B2" and got["a"] == keys.get("a")
+
+
+def test_append_fields_go_by_name(spark, table):
+    sink = table_sink(table, "scheduled")
+    sink(rows(spark, "2024-01-14", a="A1", b="B1"))
+    sink(rows(spark, "2024-01-15", b="B2"))
+    got = spark.table(table).select("event_params.*").collect()
+    assert sorted(got, key=str) == sorted([("A1", "B1"), (None, "B2")], key=str)
+
+
+@pytest.mark.parametrize("day", [True, False])
+def test_new_nested_field_is_refused_by_name(spark, table, day):
+    sink = (lambda d: scheduled(table, d)) if day else (lambda d: table_sink(table, "scheduled"))
+    sink("2024-01-14")(rows(spark, "2024-01-14", a="A1", b="B1"))
+    with pytest.raises(ValueError, match="event_params.c"):
+        sink("2024-01-15")(rows(spark, "2024-01-15", a="A2", c="C2"))
+    assert spark.table(table).select("event_params.*").collect() == [("A1", "B1")]
+
+
+def test_new_column_is_added(spark, table):
+    sink = table_sink(table, "scheduled")
+    sink(rows(spark, "2024-01-14", a="A1"))
+    sink(rows(spark, "2024-01-15", a="A2").withColumn("extra", F.lit(5)))
+    got = spark.table(table).select("event_params.a", "extra").collect()
+    assert sorted(got, key=str) == sorted([("A1", None), ("A2", 5)], key=str)
+
+
+def test_more_than_ten_thousand_keys(spark):
+    entry = F.struct(F.concat(F.lit("k"), "id").alias("key"), F.lit(None).cast("string").alias("value"))
+    data = spark.range(10_500).select(F.array(entry).alias("event_params"))
+    assert len(discover_param_keys(data)) == 10_500
+    with pytest.raises(ValueError):
+        discover_param_keys(data, 10)
