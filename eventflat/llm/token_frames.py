@@ -30,7 +30,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import CACHE
 from .common import new_folder, ship, slices, storage, texts_of
 
 # Fixed values of the seekable format.
@@ -38,6 +37,9 @@ SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 FOOTER = struct.Struct("<IBI")
 ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("checksum", "<u4")])
 
+#: Pieces that a worker keeps, some 150 bytes each; a full cache starts anew.
+CACHE = 500_000
+
 #: Documents that one reading task fetches.
 READ_FRAMES = 2_000
 
