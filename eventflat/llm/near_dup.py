@@ -10,10 +10,12 @@ of ``rows`` give bucket keys: two sets of similarity 0.8 share none of 52 keys o
 with a chance of 7 in 100,000.
 
 Documents with the same set are one node. In rounds, every node is compared with one node
-that shares a bucket with it but no component yet, the one that the round's hash puts first,
-so a large group soon hangs together by a few links for each node. Then, in buckets that
-still hold several components, all pairs across components are compared: pairs inside a
-component cannot change the result. So large groups of copies cost a line, not a square.
+that shares a bucket with it but no component yet: first with the one that has the most company
+in its buckets, then with the one that the round's hash puts first. So a large group soon
+hangs together by a few links for each node. Then, in buckets that still hold several
+components, members of different components are compared: pairs inside a component cannot
+change the result. So large groups of copies cost a line, not a square; members that no link
+has reached still meet the others of their buckets, but only links leave that join.
 Pairs whose sketches differ in far more lowest bits than chance allows at the wanted
 similarity (4.5 standard deviations) are not compared. Every comparison intersects the full
 sets (64-bit shingle hashes).
@@ -199,11 +201,16 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def bucket_members(nodes: DataFrame) -> DataFrame:
-    """Columns key, node, n_shingles, bits: nodes of all buckets that hold more than one."""
+    """Columns key, node, n_shingles, bits, weight: nodes of all buckets that hold more than one.
+
+    ``weight`` is the number of members of all the node's buckets: most for a text that many
+    others are copies of.
+    """
     rows = nodes.select("node", F.explode("keys").alias("key"))
-    ends = rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("greatest"))
-    rows = rows.join(ends.where("least < greatest").select("key"), "key")
-    return rows.join(nodes.select("node", "n_shingles", "bits"), "node")
+    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    rows = stored(rows.join(counts.where("members > 1"), "key"), "near-dup-shared")
+    weights = rows.groupBy("node").agg(F.sum("members").alias("weight"))
+    return rows.select("node", "key").join(weights.join(nodes.select("node", "n_shingles", "bits"), "node"), "node")
 
 
 def similar_sizes(a: str, b: str, percent: int):
@@ -222,12 +229,17 @@ def with_components(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def round_pairs(rows: DataFrame, turn: int, settings: Settings) -> DataFrame:
-    """At most one pair per node: with the first node, by the round's hash, of one bucket.
+    """At most one pair per node: with the first node, in the round's order, of one bucket.
 
-    The hash is another in each bucket, so that no single node decides a round.
+    The first round puts the node of the greatest weight first, as a text is likelier similar
+    to what its copies come from than to another copy. Later rounds order by a hash, another
+    in each bucket, so that no single node decides a round.
     """
-    order = F.xxhash64(F.lit(turn), "key", "node").alias("order")
-    first = rows.groupBy("key").agg(F.min(F.struct(order, "node", "component", "n_shingles", "bits")).alias("hub"))
+    order = F.xxhash64(F.lit(turn), "key", "node")
+    order = F.struct(-F.col("weight") if turn == 0 else F.lit(0), F.col("node") if turn == 0 else order)
+    first = rows.groupBy("key").agg(
+        F.min(F.struct(order.alias("order"), "node", "component", "n_shingles", "bits")).alias("hub")
+    )
     near = rows.join(first, "key").where("component <> hub.component")
     near = near.where(similar_sizes("n_shingles", "hub.n_shingles", settings.percent))
     near = near.where(alike("bits", "hub.bits", settings))
@@ -235,26 +247,29 @@ def round_pairs(rows: DataFrame, turn: int, settings: Settings) -> DataFrame:
     return pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
-def pairs_across(rows: DataFrame, settings: Settings) -> DataFrame:
-    """Distinct pairs of nodes that share a bucket but no component.
+def links_across(rows: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Distinct links (a, b) of nodes that share a bucket but no component.
 
-    In each bucket the members outside one main component meet all others.
+    In each bucket the members outside one main component meet all others. The full sets come
+    with the members and are intersected in the join, so that only links leave it, however
+    many pairs of a bucket are nearly similar enough.
     """
     main = rows.groupBy("key").agg(F.mode("component", deterministic=True).alias("main"))
-    rows = stored(rows.join(main, "key"), "near-dup-members")
-    others = rows.where("component <> main")
-    x, y = others.alias("x"), rows.alias("y")
+    rows = stored(rows.join(main, "key").join(sets, "node"), "near-dup-members")
+    x, y = rows.where("component <> main").alias("x"), rows.alias("y")
+    both = F.size(F.array_intersect("x.items", "y.items"))
     fits = (
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.component") != F.col("y.component"))
         & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
         & similar_sizes("x.n_shingles", "y.n_shingles", settings.percent)
         & alike("x.bits", "y.bits", settings)
+        & ((100 + settings.percent) * both >= settings.percent * (F.col("x.n_shingles") + F.col("y.n_shingles")))
     )
-    pairs = x.join(y, fits).select(
+    links = x.join(y, fits).select(
         F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
     )
-    return pairs.distinct()
+    return links.distinct()
 
 
 def node_components(nodes: DataFrame, documents: DataFrame, settings: Settings) -> DataFrame | None:
@@ -276,8 +291,7 @@ def node_components(nodes: DataFrame, documents: DataFrame, settings: Settings)
         # Where a round links few of its pairs, the rest are pairs to settle one by one.
         if 20 * new <= tried:
             break
-    across = cut(pairs_across(rows, settings))
-    more = cut(verified(across, sets, settings.percent))
+    more = cut(links_across(rows, sets, settings))
     if more.isEmpty():
         return labels
     return components(more if links is None else links.union(more))
