@@ -1 +1,87 @@
-ORACLE: dict[str, str] = {}
+"""SQL of the operators that SQL can express, for a database that reads the same tables.
+
+The near-duplicate queries compare all sets, or all vectors of a label, there: their
+operators are held to the exact answer. The others depend on trained models, hash draws,
+iterations or files and are tested against brute force or round trips.
+"""
+
+#: Least id that links reach, from tables ``links`` (both directions) and ``ids``.
+REACH = """
+reach(id, other) AS (
+  SELECT id, id FROM ids
+  UNION
+  SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other
+),
+least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+"""
+
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+shingled AS MATERIALIZED (
+  SELECT doc_id, CASE
+    WHEN len(words) = 0 THEN []
+    WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')))
+  END AS items
+  FROM worded
+),
+ids AS (SELECT doc_id AS id FROM shingled),
+single AS MATERIALIZED (SELECT doc_id, len(items) AS n, unnest(items) AS item FROM shingled),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS met
+  FROM single x JOIN single y ON x.item = y.item AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id
+),
+links AS MATERIALIZED (SELECT a, b FROM shared WHERE 100 * met >= 80 * (na + nb - met)),
+{REACH}
+SELECT doc_id, CAST(len(items) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM shingled JOIN least ON id = doc_id
+"""
+
+WARC = """
+WITH payloads AS (
+  SELECT page_id, sha256(coalesce(html, '')) AS payload_digest,
+    CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes
+  FROM pages
+),
+first AS (
+  SELECT *, payload_bytes >= 100 AND page_id > min(page_id) OVER (PARTITION BY payload_digest) AS again,
+    min(page_id) OVER (PARTITION BY payload_digest) AS first_id
+  FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first_id END AS refers_to
+FROM first
+"""
+
+EMBEDDINGS = f"""
+WITH RECURSIVE ids AS (SELECT vec_id AS id FROM embeddings),
+vectors AS MATERIALIZED (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+),
+links AS MATERIALIZED (
+  SELECT x.vec_id AS a, y.vec_id AS b
+  FROM vectors x JOIN vectors y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.98
+),
+{REACH},
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT CAST(id AS BIGINT) AS vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links,
+  CAST(component_id AS BIGINT) AS component_id, id = component_id AS kept
+FROM least LEFT JOIN counted ON a = id
+"""
+
+ORACLE = {
+    "op4_near_duplicates": NEAR_DUPLICATES,
+    "op7_warc": WARC,
+    "op9_embedding_near_duplicates": EMBEDDINGS,
+}
