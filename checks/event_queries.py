@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventflat import flatten_events
-from eventflat.fixture import load_nested_events
+from eventflat.fixture import WIDE_KEYS, load_nested_events
 from eventflat.functions import param_lookup, value_text
 from eventflat.operators import (
     discover_param_keys,
@@ -236,6 +236,49 @@ def items_recollect(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _awkward_fields(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
+    events = load_nested_events(spark, sf_dir, awkward=True)
+    pivoted = pivot_params(events, keys, ["event_bundle_sequence_id"], merge=False)
+    return pivoted.select(event_id(), "event_params.*")
+
+
+def param_float_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _awkward_fields(spark, sf_dir, "rate")
+
+
+def pivot_first_set_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key that comes up to three times, the first time without a value."""
+    return _awkward_fields(spark, sf_dir, "twice")
+
+
+def pivot_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hundred found keys among others, of which an event has a tenth."""
+    flat = flatten_events(
+        load_nested_events(spark, sf_dir, awkward=True),
+        event_list=ALL_NAMES,
+        additional_columns_to_select=["event_bundle_sequence_id"],
+    )
+    wide = [F.col(f"event_params.{key}") for key in WIDE_KEYS]
+    return flat.select(event_id(), F.concat_ws(",", *wide).alias("wide"))
+
+
+def batch_columns_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = with_batch_defaults(load_nested_events(spark, sf_dir, awkward=True))
+    return events.select(event_id(), "batch_event_index", "batch_page_id", "batch_ordering_id")
+
+
+def flatten_events_no_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No event of that name: no row, in the flattened schema."""
+    flat = flatten_events(load_nested_events(spark, sf_dir), "nothing")
+    names = F.lit(",".join(flat.columns)).alias("names")
+    return flat.agg(F.count(F.lit(1)).alias("n")).select("n", names)
+
+
+def flatten_events_width(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nested = load_nested_events(spark, sf_dir)
+    return flat_scalars(flatten_events(nested, "purchase", num_partitions=5))
+
+
 QUERIES = {
     "filter_name": filter_name,
     "filter_list": filter_list,
@@ -258,4 +301,10 @@ QUERIES = {
     "flatten_events_ecommerce": flatten_events_ecommerce,
     "items_drop_empty": items_drop_empty,
     "items_recollect": items_recollect,
+    "param_float_text": param_float_text,
+    "pivot_first_set_value": pivot_first_set_value,
+    "pivot_wide": pivot_wide,
+    "batch_columns_present": batch_columns_present,
+    "flatten_events_no_match": flatten_events_no_match,
+    "flatten_events_width": flatten_events_width,
 }

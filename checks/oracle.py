@@ -187,6 +187,14 @@ ALL_SESSION_COLUMNS = """session_start_timestamp, session_end_timestamp, ga_sess
   session_referrer_page, '' AS term, {gclid} AS gclid, medium, category, region,
   is_engaged_session"""
 
+# The awkward variant of the events, and sessions made of them.
+AWKWARD = f"""{EVENTS},
+a AS (
+  SELECT * REPLACE (CASE WHEN filled AND event_id % 13 = 0
+    THEN event_timestamp // 1000 + (event_id % 5 - 2) * 3600000 END AS custom_timestamp) FROM e
+)"""
+AWKWARD_SESSIONS = AWKWARD + "," + SESSIONS.replace("FROM e WHERE", "FROM a WHERE")
+
 ORACLE = {
     "filter_name": _over_events(NAMES + "event_name = 'purchase'"),
     "filter_list": _over_events(NAMES + "event_name IN ('purchase', 'signup')"),
@@ -259,6 +267,41 @@ ORACLE = {
     "session_engaged": _sessions("is_engaged_session"),
     "flatten_sessions": _sessions(ALL_SESSION_COLUMNS.format(gclid="gclid")),
     "flatten_sessions_defaults": _sessions(ALL_SESSION_COLUMNS.format(gclid="''")),
+    "param_float_text": _over_events(
+        "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(CAST(k AS DOUBLE) / 4 AS VARCHAR) END "
+        "AS rate FROM e WHERE filled"
+    ),
+    "pivot_first_set_value": _over_events(
+        "SELECT event_id, CAST(k AS VARCHAR) AS twice FROM e WHERE filled"
+    ),
+    "pivot_wide": _over_events("""
+        SELECT event_id, string_agg('w' || lpad(CAST(n AS VARCHAR), 2, '0') || (event_id % 7), ','
+                                    ORDER BY n) AS wide
+        FROM e JOIN range(100) AS numbers(n) ON (event_id + n) % 10 = 0
+        WHERE filled GROUP BY event_id"""),
+    "batch_columns_present": """
+        SELECT event_id, event_id % 4 AS batch_event_index,
+               CASE WHEN event_id % 3 <> 0 THEN event_id % 5 END AS batch_page_id,
+               event_id % 6 AS batch_ordering_id
+        FROM events""",
+    "flatten_events_no_match": _over_events(
+        "SELECT count(*) AS n, 'user_pseudo_id,user_id,session_id,event_name,event_date,"
+        "event_timestamp,batch_event_index,geo,device,items,user_properties,event_params' AS names "
+        "FROM e WHERE event_name = 'nothing'"
+    ),
+    "flatten_events_width": _purchases(""),
+    "session_ordering_own_clock": f"""WITH {AWKWARD_SESSIONS}
+        SELECT session_id, session_date, session_start_timestamp, session_end_timestamp,
+               session_landing_page, session_exit_page FROM r""",
+    "session_last_click": f"""WITH {AWKWARD_SESSIONS}
+        SELECT DISTINCT session_id, event_date AS session_date, ga_session_id, user_pseudo_id,
+               first_value(CASE WHEN event_id % 4 <> 0 THEN 'lc' || (event_id % 6) END IGNORE NULLS)
+                 OVER (PARTITION BY session_id ORDER BY ordering_timestamp, event_timestamp
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS source
+        FROM s""",
+    "run_job_empty": _over_events(
+        "SELECT count(*) > 0 AS written, count(*) AS rows_written FROM e WHERE event_name = 'nothing'"
+    ),
     "source_flat": _summary("true"),
     "source_dated": _summary("true"),
     "source_orc": _summary("true"),

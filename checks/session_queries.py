@@ -119,6 +119,24 @@ def flatten_sessions_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session_scalars(flatten_sessions(load_nested_events(spark, sf_dir)))
 
 
+def session_ordering_own_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose own clock contradicts the export's."""
+    sessions = flatten_sessions(load_nested_events(spark, sf_dir, awkward=True))
+    return sessions.select(
+        *row_key(),
+        "session_start_timestamp",
+        "session_end_timestamp",
+        "session_landing_page",
+        "session_exit_page",
+    )
+
+
+def session_last_click(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sessions = flatten_sessions(load_nested_events(spark, sf_dir, awkward=True))
+    source = F.col("session_traffic_source_last_click.manual_campaign.source")
+    return sessions.select(*row_key(), "ga_session_id", "user_pseudo_id", source.alias("source"))
+
+
 QUERIES = {
     "traffic_defaults": traffic_defaults,
     "session_eligible": session_eligible,
@@ -129,6 +147,8 @@ QUERIES = {
     "session_device_geo": session_device_geo,
     "session_identity": session_identity,
     "session_engaged": session_engaged,
+    "session_ordering_own_clock": session_ordering_own_clock,
+    "session_last_click": session_last_click,
     "flatten_sessions": flatten_sessions_query,
     "flatten_sessions_defaults": flatten_sessions_defaults,
 }

@@ -199,6 +199,13 @@ def run_job_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(counts, "rows_read long, rows_written long")
 
 
+def run_job_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No event of that name: nothing is written, and the report says so."""
+    report, _ = _job(spark, sf_dir, "flatten_events", {"event_name": "nothing"})
+    found = [(report["written"], report["rows_written"])]
+    return spark.createDataFrame(found, "written boolean, rows_written long")
+
+
 QUERIES = {
     "source_flat": source_flat,
     "source_dated": source_dated,
@@ -217,4 +224,5 @@ QUERIES = {
     "run_job_events": run_job_events,
     "run_job_sessions": run_job_sessions,
     "run_job_counts": run_job_counts,
+    "run_job_empty": run_job_empty,
 }

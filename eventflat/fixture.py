@@ -1,7 +1,9 @@
 """Nested export events derived from the flat ``events`` test table.
 
-The session time zone must be UTC. The three batch columns and the two optional
-traffic-source columns are left out on purpose: they exercise the defaults.
+Times of the flat table have no zone and are read as UTC, whatever the session's zone. The
+three batch columns and the two optional traffic-source columns are left out on purpose:
+they exercise the defaults. The awkward variant has them, and parameters that are easy to
+get wrong.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ PARAMETERS = [
 ]
 
 COLUMNS = {
-    "event_date": "date_format(cast(ts as timestamp), 'yyyyMMdd')",
+    "event_date": "replace(cast(cast(ts as date) as string), '-', '')",
     "event_timestamp": "us",
     "event_name": "event_type",
     "user_pseudo_id": "if(event_id % 50 = 0, null, concat('p', user_id))",
@@ -63,6 +65,34 @@ COLUMNS = {
     "event_dimensions": "named_struct('hostname', 'shop.example')",
 }
 
+MICROS = """datediff(cast(ts as date), date'1970-01-01') * 86400000000L + hour(ts) * 3600000000L
+  + minute(ts) * 60000000L + cast(extract(second from ts) * 1000000 as bigint)"""
+
+WIDE_KEYS = [f"w{number:02}" for number in range(100)]
+
+# An own clock that contradicts the export's, a float, a key three times (without a value
+# first in every third event), and many keys of which an event has a tenth.
+AWKWARD_PARAMETERS = [
+    *[entry for entry in PARAMETERS if entry[0] != "custom_timestamp"],
+    ("custom_timestamp", "int_value", "event_id % 13 = 0",
+     "us div 1000 + (event_id % 5 - 2) * 3600000"),
+    ("rate", "float_value", "event_id % 2 = 0", "k / 4D"),
+    ("twice", "string_value", "event_id % 3 = 0", "cast(null as string)"),
+    ("twice", "int_value", "true", "k"),
+    ("twice", "string_value", "true", "'late'"),
+    *[(key, "string_value", f"(event_id + {number}) % 10 = 0", f"concat('{key}', event_id % 7)")
+      for number, key in enumerate(WIDE_KEYS)],
+]
+
+AWKWARD_COLUMNS = {
+    **COLUMNS,
+    "batch_event_index": "event_id % 4",
+    "batch_page_id": "if(event_id % 3 = 0, null, event_id % 5)",
+    "batch_ordering_id": "event_id % 6",
+    "session_traffic_source_last_click": """if(event_id % 4 = 0, null, named_struct(
+        'manual_campaign', named_struct('source', concat('lc', event_id % 6))))""",
+}
+
 
 def _parameter(key: str, slot: str, present: str, value: str) -> str:
     slots = {**NO_SLOTS, slot: value}
@@ -78,21 +108,24 @@ def _collected_traffic_source() -> str:
     return f"if(event_id % 3 = 0, named_struct({fields}), null)"
 
 
-def nested_events(events: DataFrame, collected: bool = False) -> DataFrame:
+def nested_events(
+    events: DataFrame, collected: bool = False, awkward: bool = False
+) -> DataFrame:
     """The ``events`` table in the nested export schema, row for row.
 
     ``collected`` adds the optional column ``collected_traffic_source``.
     """
-    columns = dict(COLUMNS)
+    columns = dict(AWKWARD_COLUMNS if awkward else COLUMNS)
     if collected:
         columns["collected_traffic_source"] = _collected_traffic_source()
     helped = events.withColumns(
         {
             "k": F.expr("cast(get_json_object(props, '$.k') as bigint)"),
-            "us": F.expr("unix_micros(cast(ts as timestamp))"),
+            "us": F.expr(MICROS),
         }
     ).withColumn("sid", F.expr("(us div 1000000 + 43200) div 86400"))
-    entries = ", ".join(_parameter(*parameter) for parameter in PARAMETERS)
+    parameters = AWKWARD_PARAMETERS if awkward else PARAMETERS
+    entries = ", ".join(_parameter(*parameter) for parameter in parameters)
     params = f"if(event_id % 101 = 0, array(), filter(array({entries}), p -> p is not null))"
     return helped.select(
         *[F.expr(text).alias(name) for name, text in columns.items()],
@@ -100,5 +133,7 @@ def nested_events(events: DataFrame, collected: bool = False) -> DataFrame:
     )
 
 
-def load_nested_events(spark: SparkSession, sf_dir: str, collected: bool = False) -> DataFrame:
-    return nested_events(spark.read.parquet(f"{sf_dir}/events.parquet"), collected)
+def load_nested_events(
+    spark: SparkSession, sf_dir: str, collected: bool = False, awkward: bool = False
+) -> DataFrame:
+    return nested_events(spark.read.parquet(f"{sf_dir}/events.parquet"), collected, awkward)

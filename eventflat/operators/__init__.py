@@ -4,7 +4,7 @@ from .columns import with_batch_defaults, with_traffic_defaults
 from .filters import keep_events, keep_events_with_items
 from .items import recollect_items
 from .params import discover_param_keys, distinct_param_keys, explode_params, pivot_params
-from .sessions import events_in_sessions, session_days, session_rows, with_session_params
+from .sessions import events_in_sessions, session_rows, whole_sessions, with_session_params
 
 __all__ = [
     "discover_param_keys",
@@ -15,8 +15,8 @@ __all__ = [
     "keep_events_with_items",
     "pivot_params",
     "recollect_items",
-    "session_days",
     "session_rows",
+    "whole_sessions",
     "with_batch_defaults",
     "with_session_params",
     "with_traffic_defaults",

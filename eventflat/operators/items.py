@@ -4,23 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.params import quoted
+from .columns import hashable
 from .filters import keep_events_with_items
 
 # Flattened events equal on these share one items array.
 ITEMS_GRAIN = ("user_pseudo_id", "session_id", "event_timestamp")
 
 
-def _hashable(kind: T.DataType) -> bool:
-    if isinstance(kind, T.ArrayType):
-        return _hashable(kind.elementType)
-    if isinstance(kind, T.StructType):
-        return all(_hashable(field.dataType) for field in kind.fields)
-    return not isinstance(kind, (T.MapType, T.VariantType))
-
-
 def recollect_items(flat: DataFrame) -> DataFrame:
     """One row per (user, session, timestamp) holding the items of all its events.
 
@@ -29,7 +21,7 @@ def recollect_items(flat: DataFrame) -> DataFrame:
     items follow the same order, then their place in the array.
     """
     rest = [quoted(name) for name in flat.columns if name not in (*ITEMS_GRAIN, "items")]
-    hashed = [quoted(field.name) for field in flat.schema.fields if _hashable(field.dataType)]
+    hashed = [quoted(field.name) for field in flat.schema.fields if hashable(field.dataType)]
     events = keep_events_with_items(flat).selectExpr(
         *ITEMS_GRAIN,
         "items",

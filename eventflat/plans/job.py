@@ -19,7 +19,7 @@ from ..sources import (
     table_sink,
     table_source,
 )
-from .events import flatten_events, has_events_to_flatten
+from .events import ECOMMERCE, flatten_events, has_events_to_flatten
 from .sessions import flatten_sessions, has_sessions
 
 SOURCES = {"parquet": parquet_source, "files": file_source, "table": table_source}
@@ -29,6 +29,9 @@ JOBS = {
     "flatten_sessions": (flatten_sessions, has_sessions),
 }
 
+# Parameters that choose events.
+SELECTORS = ("event_name", "event_list", "event_pattern")
+
 
 def _backend(kinds: dict[str, Callable], spec: dict[str, Any], role: str, run_date: str | None):
     entry = dict(spec.get(role) or {})
@@ -71,14 +74,19 @@ def run_job(spark: SparkSession, spec: dict[str, Any]) -> dict[str, Any]:
     unknown = sorted(set(params) - set(_known(transform, params)))
     if unknown:
         raise ValueError(f"unknown parameters of {job}: {unknown}")
+    if job == "flatten_events" and not any(params.get(name) for name in SELECTORS):
+        raise ValueError(f"flatten_events needs one of {list(SELECTORS)}")
 
     data = read(spark)
     report: dict[str, Any] = {"job": job, "written": False, "rows_written": 0}
-    if not has_rows(data, **_known(has_rows, params)):
-        return report
+    found = None
     if job == "flatten_events" and params.get("param_keys") is None:
         kept = keep_events(data, **_known(keep_events, params))
-        params["param_keys"] = discover_param_keys(kept, params.get("max_keys"))
+        found = params["param_keys"] = discover_param_keys(kept, params.get("max_keys"))
+    # An event with a key is a row, but for events that need items: no look of its own then.
+    settled = found and params.get("event_type") != ECOMMERCE
+    if found == [] or not (settled or has_rows(data, **_known(has_rows, params))):
+        return report
     if spec.get("count_input"):
         data, rows_read = count_rows(data, "rows_read")
     result, rows_written = count_rows(transform(data, **params), "rows_written")

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from ..operators.sessions import (
     events_in_sessions,
     select_session_input,
-    session_days,
     session_rows,
+    whole_sessions,
     with_session_params,
 )
 
@@ -20,7 +20,7 @@ def flatten_sessions(data: DataFrame) -> DataFrame:
     to the finished rows instead of travelling through the shuffle.
     """
     events = with_session_params(events_in_sessions(select_session_input(data)))
-    return session_rows(session_days(events))
+    return session_rows(whole_sessions(events))
 
 
 def has_sessions(data: DataFrame) -> bool:

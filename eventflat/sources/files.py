@@ -89,7 +89,7 @@ def parquet_sink(
     partition_by: str | Sequence[str] | None = None,
     cluster_by: str | Sequence[str] | None = None,
     run_date: object | None = None,
-    rebalance: bool = False,
+    rebalance: bool = True,
 ) -> Sink:
     """Parquet files; see ``file_sink``."""
     return file_sink(
@@ -105,13 +105,13 @@ def file_sink(
     options: dict[str, Any] | None = None,
     cluster_by: str | Sequence[str] | None = None,
     run_date: object | None = None,
-    rebalance: bool = False,
+    rebalance: bool = True,
 ) -> Sink:
     """Files under ``path``, optionally one folder per value of the partition columns.
 
     Mode ``overwrite_day`` replaces the folder of ``run_date`` only; the first partition
-    column is then the day. Other modes are Spark's. Set ``rebalance`` for a write over
-    many partitions, which would otherwise leave one file per task and folder.
+    column is then the day. Other modes are Spark's. A partitioned write is
+    rebalanced by one shuffle; without ``rebalance`` every task leaves a file per folder.
     """
     file_format = format.lower()
     partitions, clusters = column_list(partition_by), column_list(cluster_by)

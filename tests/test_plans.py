@@ -56,6 +56,11 @@ def test_pinned_keys_run_no_job(spark, stored):
     assert list(tracker.getJobIdsForGroup("lazy")) == []
 
 
+def test_events_with_keys_are_found_without_a_lambda(stored):
+    flat = plan(flatten_events(stored, "purchase", param_keys=["value"]))
+    assert "exists(" not in flat and "array_remove(event_params" in flat
+
+
 def test_event_filters_reach_the_scan(stored):
     name = plan(flatten_events(stored, "purchase", param_keys=["value"]))
     assert "EqualTo(event_name,purchase)" in name
@@ -78,11 +83,12 @@ def test_flattening_reads_no_unused_column(stored):
 
 def test_sessions_reduce_before_the_shuffle(stored):
     sessions = flatten_sessions(stored)
-    assert exchanges(sessions) == 2
-    below_first = plan(sessions).split("Exchange")[-1]
-    assert "partial_min" in below_first
-    assert "partial_max" in below_first
-    assert "Generate" not in plan(sessions)
+    assert exchanges(sessions) == 1
+    assert "Window" not in plan(sessions)
+    below = plan(sessions).split("Exchange")[-1]
+    for function in ("partial_min_by", "partial_max_by", "partial_collect_set"):
+        assert function in below
+    assert "Generate" not in below
 
 
 def test_sessions_read_only_the_slots_they_use(stored):
