@@ -29,8 +29,11 @@ from pyspark.sql import types as T
 
 from .common import ship, slices, texts_of, without
 
-#: Entries of each cache of a worker; a full cache starts anew.
-CACHE = 120_000
+#: Entries of a generation of each cache of a worker, some 300 bytes each; two are kept.
+CACHE = 250_000
+#: Bits of a symbol's id in the key of a pair, and of a place in a queue entry.
+ID_BITS, PLACE_BITS = 20, 40
+PLACE = (1 << PLACE_BITS) - 1
 
 ENCODED = T.StructType(
     [
@@ -49,16 +52,23 @@ def byte_letters() -> list[str]:
 
 
 class Pieces(dict):
-    """A bounded cache: a missing key is computed by ``make``."""
+    """A bounded cache: a missing key is computed by ``make``.
+
+    A full generation becomes the older one; keys still in use come back from there.
+    """
 
     def __init__(self, make, most: int = CACHE):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        self[key] = value = self.make(key)
+        self[key] = value
         return value
 
 
@@ -69,48 +79,57 @@ class Codec:
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         model = content["model"]
-        self.end = model["end_of_word_suffix"]
-        self.vocab: dict[str, int] = model["vocab"]
-        self.ranks = {tuple(pair): rank for rank, pair in enumerate(model["merges"])}
+        vocab: dict[str, int] = model["vocab"]
+        merges = [tuple(pair) for pair in model["merges"]]
+        self.ranks = {vocab[a] << ID_BITS | vocab[b]: rank for rank, (a, b) in enumerate(merges)}
+        self.made = [vocab[a + b] for a, b in merges]
+        letters = byte_letters()
+        self.inner = [vocab[letter] for letter in letters]
+        self.last = [vocab[letter + model["end_of_word_suffix"]] for letter in letters]
         self.special = {token["content"]: token["id"] for token in content["added_tokens"]}
-        self.strings = {id: text for text, id in [*self.vocab.items(), *self.special.items()]}
+        self.strings = {id: text for text, id in [*vocab.items(), *self.special.items()]}
         split = content["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = regex.compile(split)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.letters = byte_letters()
         self.pieces = Pieces(self.merged)
         self.chunks = Pieces(self.rendered)
 
     def merged(self, piece: str) -> list[int]:
-        """Ids of one piece of the pattern."""
-        symbols = [self.letters[byte] for byte in piece.encode("utf-8")]
-        symbols[-1] += self.end
-        last = len(symbols)
-        before, after = list(range(-1, last - 1)), list(range(1, last + 1))
-        ranks = self.ranks
+        """Ids of one piece of the pattern.
+
+        A queue entry is a rank and the place of the pair's left symbol in one number. It is
+        stale if the pair at that place has another rank by now.
+        """
+        data = piece.encode("utf-8")
+        symbols = [self.inner[byte] for byte in data]
+        symbols[-1] = self.last[data[-1]]
+        size, ranks, made = len(symbols), self.ranks, self.made
+        before, after = list(range(-1, size - 1)), list(range(1, size + 1))
         queue = []
-
-        def offer(left: int, right: int) -> None:
-            pair = (symbols[left], symbols[right])
-            rank = ranks.get(pair)
+        for left in range(size - 1):
+            rank = ranks.get(symbols[left] << ID_BITS | symbols[left + 1])
             if rank is not None:
-                heapq.heappush(queue, (rank, left, right, pair))
-
-        for place in range(last - 1):
-            offer(place, place + 1)
+                queue.append(rank << PLACE_BITS | left)
+        heapq.heapify(queue)
         while queue:
-            _, left, right, pair = heapq.heappop(queue)
-            if after[left] != right or (symbols[left], symbols[right]) != pair:
+            entry = heapq.heappop(queue)
+            left, rank = entry & PLACE, entry >> PLACE_BITS
+            right = after[left]
+            if right >= size or ranks.get(symbols[left] << ID_BITS | symbols[right]) != rank:
                 continue  # stale
-            symbols[left] += symbols[right]
-            symbols[right] = ""
-            after[left] = after[right]
-            if after[left] < last:
-                before[after[left]] = left
-                offer(left, after[left])
-            if before[left] >= 0:
-                offer(before[left], left)
-        return [self.vocab[symbol] for symbol in symbols if symbol]
+            symbols[left], symbols[right] = made[rank], -1
+            after[left] = beyond = after[right]
+            if beyond < size:
+                before[beyond] = left
+                rank = ranks.get(symbols[left] << ID_BITS | symbols[beyond])
+                if rank is not None:
+                    heapq.heappush(queue, rank << PLACE_BITS | left)
+            left = before[left]
+            if left >= 0:
+                rank = ranks.get(symbols[left] << ID_BITS | symbols[after[left]])
+                if rank is not None:
+                    heapq.heappush(queue, rank << PLACE_BITS | left)
+        return [symbol for symbol in symbols if symbol >= 0]
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
