@@ -3,17 +3,22 @@
 Two models, of toxic and of ordinary texts, give each word a probability after the word
 before it: discounted counts of word pairs (documents that hold the pair), then of the
 class's continuation counts (number of distinct words before a word), then the continuation
-counts that both classes share, then an even share. The discount is the usual constant and
-what the other class and chance explain: a count c against c' in the other class keeps
-c - margin * c' - deviations * sqrt(c + c') - 0.75. So expressions that are rare, or common
+counts of all documents, labelled or not, then an even share. The discount is the usual
+constant and what the other class and chance explain: a count c against c' in the other
+class, which has 1 / ratio times as many documents, keeps
+c - margin * ratio * c' - deviations * sqrt(max(ratio, 1) * (c + c')) - 0.75. A continuation
+count keeps the share that its documents keep, but no more than chance leaves of it; what
+neither class claims of a word's contexts is its shared count. So expressions that are rare, or common
 in both classes, rest on the shared counts and are equally likely in both, and evidence comes
 from expressions that set a class apart (a constant discount alone found half of the toxic
 documents of the test data: the mix of languages in a class drowned its expressions). A document's evidence is the difference of log-likelihoods per word; a
 logistic curve, fitted on documents that the counts have not seen, makes it a score.
 
-The fit takes a bounded sample of labelled rows (``Settings.per_class`` documents of each
-class for counts, ``Settings.calibration`` for the curve), chosen by hash; every document is
-scored, over its whole text. The kept expressions are bounded by ``Settings.expressions``.
+Counts are of all labelled rows that may be learned from, and of all texts. Only the curve is
+fitted on a bounded sample (``Settings.calibration`` documents, chosen by hash). Of the model
+only expressions that set a class apart need rows, as all others have equal ratios: up to
+``Settings.expressions`` they are broadcast, more are joined by key, with equal results.
+Every document is scored, over its whole text.
 
 Defined results: a null or empty text has no evidence, so it gets the curve's value at zero.
 A doc_id with several labels counts as toxic if one says so; labels other than 0 and 1, and
@@ -29,23 +34,26 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import coded_words, cut, mixed, ship, slices, stored, texts_of, without
+from .common import coded_words, cut, mixed, ship, slices, small, stored, texts_of, without
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
 EDGE = b".,;:!?'\"()-*#$%&|<>"
 DISCOUNT = 0.75
+CLASSES = ("toxic", "ordinary")
+#: Labelled ids that are broadcast; more are joined by a shuffle.
+LABELS = 1_000_000
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Bounds of the fit: documents per class, documents for the curve, kept expressions."""
+    """Documents for the curve, expressions of a model that is broadcast, bars of the discount."""
 
-    per_class: int = 4_000
     calibration: int = 8_000
     expressions: int = 200_000
     least_word: int = 5
@@ -56,17 +64,41 @@ class Settings:
 
 @dataclass
 class Model:
-    """Sorted keys with class probabilities (columns: toxic, ordinary)."""
+    """Class probabilities (columns: toxic, ordinary) by sorted keys, or frames to join by key.
 
-    words: np.ndarray
-    word_p: np.ndarray
-    rest_p: np.ndarray
-    pairs: np.ndarray
-    pair_p: np.ndarray
+    ``neutral`` weighs the shared counts of words that are no keys.
+    """
+
+    neutral: np.ndarray
+    words: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    word_p: np.ndarray = field(default_factory=lambda: np.ones((0, 2)))
     backoff: np.ndarray = field(default_factory=lambda: np.ones((0, 2)))
+    pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    pair_p: np.ndarray = field(default_factory=lambda: np.ones((0, 2)))
+    frames: tuple[DataFrame, DataFrame] | None = None
     slope: float = 1.0
     offset: float = 0.0
 
+    @classmethod
+    def by_key(cls, words: DataFrame, pairs: DataFrame, neutral: np.ndarray) -> Model:
+        return cls(neutral, frames=(words, pairs))
+
+    @classmethod
+    def on_driver(cls, words: DataFrame, pairs: DataFrame, neutral: np.ndarray) -> Model:
+        words, pairs = words.toPandas(), pairs.toPandas()
+        keys = words["word"].to_numpy(np.int64).view(np.uint64)
+        before, after = (pairs[c].to_numpy(np.int64).view(np.uint64) for c in ("before", "word"))
+        pair_keys = mixed(before * STEP + after)
+        at, pair_at = np.argsort(keys), np.argsort(pair_keys)
+
+        def values(table: pd.DataFrame, kind: str) -> np.ndarray:
+            return table[[f"{c}_{kind}" for c in CLASSES]].to_numpy(float)
+
+        return cls(
+            neutral, keys[at], values(words, "p")[at], values(words, "backoff")[at],
+            pair_keys[pair_at], values(pairs, "p")[pair_at],
+        )
+
 
 def crc(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
@@ -98,52 +130,77 @@ def labelled(labels: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
 
 
-def sampled(labels: DataFrame, documents: DataFrame, settings: Settings) -> DataFrame:
-    """Texts to learn from: columns text, toxic, role (count or curve); a bounded sample."""
-    rows = labelled(labels).withColumn(
+def with_roles(labels: DataFrame) -> DataFrame:
+    """Labelled documents with a role: count or, a fifth of the ids, curve."""
+    return labelled(labels).withColumn(
         "role", F.when(crc() % 5 == 1, F.lit("curve")).otherwise(F.lit("count"))
     )
-    rows = cut(rows)
-    sizes = {(r["role"], r["toxic"]): r["n"] for r in rows.groupBy("role", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    curve = sizes.get(("curve", 0), 0) + sizes.get(("curve", 1), 0)
-    share = F.lit(min(1.0, settings.calibration / max(curve, 1)))
-    # As many documents of either class, so that neither model knows more expressions.
-    per_class = min(settings.per_class, *[max(sizes.get(("count", toxic), 0), 1) for toxic in (0, 1)])
-    for toxic in (0, 1):
-        own = min(1.0, per_class / max(sizes.get(("count", toxic), 0), 1))
-        share = F.when((F.col("role") == "count") & (F.col("toxic") == toxic), own).otherwise(share)
+
+
+def curve_sample(marks: DataFrame, documents: DataFrame, settings: Settings) -> DataFrame:
+    """Texts to fit the curve on: columns text, toxic; a bounded sample.
+
+    Of the documents that no class has counted, where those have both classes.
+    """
+    sizes = {
+        (r["role"], r["toxic"]): r["n"]
+        for r in marks.groupBy("role", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
+    }
+    role = "curve" if {("curve", 0), ("curve", 1)} <= set(sizes) else "count"
+    share = min(1.0, settings.calibration / max(sizes.get((role, 0), 0) + sizes.get((role, 1), 0), 1))
     chance = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = rows.where(chance < share)
-    # About 2 x per_class + calibration ids at most, whatever the size of the tables.
+    chosen = marks.where((F.col("role") == role) & (chance < share)).select("doc_id", "toxic")
+    # About ``calibration`` ids at most, whatever the size of the tables.
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return stored(texts.select("text", "toxic", "role"), "toxicity-sample")
+    return stored(texts.select("text", "toxic"), "toxicity-curve")
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:
-    """Columns before, word, toxic, ordinary: documents with each word pair."""
+    """Columns before, word, toxic, ordinary: labelled documents with each word pair.
+
+    Every pair of the rows has a row; documents whose ``toxic`` is null add no count. Rows
+    whose ``before`` is null count the labelled documents with a word, wherever it stands.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             codes, hashes, counts = hashed_words(texts_of(batch, "text"))
             if not len(codes):
                 continue
-            toxic = np.asarray(batch.column("toxic"), dtype=np.int64)
+            marks = np.asarray(pc.fill_null(batch.column("toxic"), -1), dtype=np.int64)
             pairs, text = pair_codes(codes, counts, len(hashes))
             at, unique = pd.factorize(pairs)
-            once = pd.unique(at.astype(np.int64) * len(counts) + text)  # a document counts once
-            at, text = once // len(counts), once % len(counts)
-            bad = np.bincount(at, weights=toxic[text], minlength=len(unique)).astype(np.int64)
-            every = np.bincount(at, minlength=len(unique))
+            # Rows of a word stand together, so that shuffle files and Parquet compress them.
+            order = np.argsort(unique % len(hashes), kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            at, unique = place[at], unique[order]
+            marked = marks[text] >= 0
+            once = pd.unique(at[marked].astype(np.int64) * len(counts) + text[marked])
+            at, text = once // len(counts), once % len(counts)  # a document counts once
+            bad = np.bincount(at[marks[text] == 1], minlength=len(unique)).astype(np.int64)
+            every = np.bincount(at, minlength=len(unique)).astype(np.int64)
+            # The documents of each word, as rows without a word before it.
+            text = np.repeat(np.arange(len(counts)), counts)
+            marked = marks[text] >= 0
+            once = pd.unique(codes[marked] * len(counts) + text[marked])
+            single, text = once // len(counts), once % len(counts)
+            own = np.bincount(single, minlength=len(hashes)).astype(np.int64)
+            own_bad = np.bincount(single[marks[text] == 1], minlength=len(hashes)).astype(np.int64)
+            seen, signed = np.flatnonzero(own), hashes.view(np.int64)
+            before = np.concatenate([signed[unique // len(hashes)], np.zeros(len(seen), np.int64)])
+            lone = np.arange(len(before)) >= len(unique)
+            bad = np.concatenate([bad, own_bad[seen]])
             yield pa.RecordBatch.from_pydict(
                 {
-                    "before": hashes[unique // len(hashes)].view(np.int64),
-                    "word": hashes[unique % len(hashes)].view(np.int64),
+                    "before": pa.array(before, mask=lone),
+                    "word": np.concatenate([signed[unique % len(hashes)], signed[seen]]),
                     "toxic": bad,
-                    "ordinary": every - bad,
+                    "ordinary": np.concatenate([every, own[seen]]) - bad,
                 }
             )
 
-    counted = ship(rows).where("role = 'count'").select("text", "toxic").mapInArrow(
+    counted = ship(rows).select("text", "toxic").mapInArrow(
         count, "before long, word long, toxic long, ordinary long"
     )
     return counted.groupBy("before", "word").agg(
@@ -151,89 +208,115 @@ def pair_counts(rows: DataFrame) -> DataFrame:
     )
 
 
-def most_frequent(rows: DataFrame, weight: str, least: int, most: int) -> pd.DataFrame:
-    """Rows of the greatest weights, at most ``most``, none below ``least``: on the driver.
+def excess(own: str, other: str, ratio: float, settings: Settings) -> Column:
+    """What is left of a class's documents after the discount.
 
-    The bar is the least weight for which they fit, read off the counts of weights.
+    ``ratio`` is own documents per document of the other class; under chance alone the
+    difference own - ratio * other has the variance ratio * (own + other); the counts of the
+    smaller class have their own chance, as if the other were no larger.
     """
-    bands = F.least(F.col(weight), F.lit(1_000)).alias("w")
-    sizes = rows.where(F.col(weight) >= least).groupBy(bands).agg(F.count(F.lit(1)).alias("n"))
-    total, bar = 0, 1_001
-    for row in sorted(sizes.collect(), key=lambda r: -r["w"]):
-        total += row["n"]
-        if total > most:
-            break
-        bar = row["w"]
-    return rows.where(F.col(weight) >= bar).toPandas()
+    own, other = F.col(own), F.col(other)
+    chance = settings.deviations * F.sqrt(max(ratio, 1.0) * (own + other))
+    return F.greatest(own - settings.margin * ratio * other - chance - DISCOUNT, F.lit(0.0))
 
 
 def fitted(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:
     """The model; None without labels of both classes."""
-    rows = sampled(labels, documents, settings)
-    classes = {(r["role"], r["toxic"]) for r in rows.select("role", "toxic").distinct().collect()}
-    if not {("count", 0), ("count", 1)} <= classes:
+    marks = cut(with_roles(labels))
+    counted = small(marks.where("role = 'count'").select("doc_id", "toxic"), LABELS)
+    sizes = {
+        r["toxic"]: r["n"]
+        for r in documents.select("doc_id").join(counted, "doc_id")
+        .groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()
+    }
+    if not sizes.get(0) or not sizes.get(1):
         return None
-    pairs = cut(pair_counts(rows))
-    words = cut(
-        pairs.groupBy("word").agg(
-            F.count_if(F.col("toxic") > 0).alias("toxic_before"),
-            F.count_if(F.col("ordinary") > 0).alias("ordinary_before"),
-            F.count(F.lit(1)).alias("shared_before"),
-            F.sum("toxic").alias("toxic"),
-            F.sum("ordinary").alias("ordinary"),
-        ).withColumn("n", F.col("toxic") + F.col("ordinary"))
+    ratio = sizes[1] / sizes[0]
+    texts = documents.select("doc_id", "text").join(counted, "doc_id", "left")
+    pairs = stored(pair_counts(texts), "toxicity-pairs")
+    left = {"toxic_left": excess("toxic", "ordinary", ratio, settings),
+            "ordinary_left": excess("ordinary", "toxic", 1 / ratio, settings)}
+    n = F.col("toxic") + F.col("ordinary")
+
+    # Continuation counts, and what the discount leaves of them: the same share as of documents,
+    # and no more than chance leaves of the contexts themselves, as copies repeat contexts.
+    behind, lone = F.col("before").isNotNull(), F.col("before").isNull()
+    words = pairs.groupBy("word").agg(
+        F.count_if(behind & (F.col("toxic") > 0)).alias("toxic_before"),
+        F.count_if(behind & (F.col("ordinary") > 0)).alias("ordinary_before"),
+        F.count_if(behind).alias("shared_before"),
+        F.sum(F.when(lone, F.col("toxic")).otherwise(0)).alias("toxic"),
+        F.sum(F.when(lone, F.col("ordinary")).otherwise(0)).alias("ordinary"),
+    ).where("shared_before > 0").withColumns(left)
+    enough = n >= settings.least_word
+    part = {
+        c: F.when(enough & (F.col(c) > 0), F.col(f"{c}_left") / F.col(c)).otherwise(0.0) for c in CLASSES
+    }
+
+    def sure(contexts: str) -> Column:
+        found = F.col(contexts)
+        return F.greatest(found - settings.deviations * F.sqrt(found) - DISCOUNT, F.lit(0.0))
+
+    words = stored(
+        words.select(
+            "word", "toxic_before", "ordinary_before",
+            *[F.least(part[c] * F.col(f"{c}_before"), sure(f"{c}_before")).alias(f"{c}_mass") for c in CLASSES],
+            # What neither class claims of the contexts in all documents.
+            (F.col("shared_before") * (1 - F.greatest(*part.values()))).alias("shared"),
+        ),
+        "toxicity-words",
     )
     totals = words.agg(
-        F.sum("toxic_before").alias("t"), F.sum("ordinary_before").alias("o"),
-        F.sum("shared_before").alias("s"), F.count(F.lit(1)).alias("v"),
+        *[F.sum(f"{c}_{k}").alias(f"{c}_{k}") for c in CLASSES for k in ("before", "mass")],
+        F.sum("shared").alias("s"), F.count(F.lit(1)).alias("v"),
     ).first()
-    if not totals["t"] or not totals["o"]:
+    if not totals["toxic_before"] or not totals["ordinary_before"]:
         return None
-    kept = most_frequent(words, "n", settings.least_word, settings.expressions)
-    counted = pairs.withColumn("n", F.col("toxic") + F.col("ordinary"))
-    often = most_frequent(counted, "n", settings.least_pair, settings.expressions)
-    model = smoothed(kept, often, totals, settings)
-    calibrate(model, rows)
+    neutral = np.array([1 - totals[f"{c}_mass"] / totals[f"{c}_before"] for c in CLASSES])
+
+    # Pairs that set a class apart; the others rest on the words and need no row.
+    pairs = pairs.where("before is not null")
+    apart = pairs.withColumns(left).where((n >= settings.least_pair) & (F.col("toxic_left") + F.col("ordinary_left") > 0))
+    apart = apart.select("before", "word", "toxic_left", "ordinary_left")
+    seen = pairs.groupBy("before").agg(*[F.sum(c).alias(f"{c}_seen") for c in CLASSES])
+    kept_pairs = stored(
+        apart.join(seen, "before").select(
+            "before", "word",
+            *[(F.col(f"{c}_left") / F.greatest(f"{c}_seen", F.lit(1))).alias(f"{c}_p") for c in CLASSES],
+        ),
+        "toxicity-kept-pairs",
+    )
+    backoff = kept_pairs.groupBy(F.col("before").alias("word")).agg(
+        *[(1 - F.sum(f"{c}_p")).alias(f"{c}_backoff") for c in CLASSES]
+    )
+    # A word with no mass of its own has equal shared counts in both classes: its ratio is that
+    # of the neutral weights, and it needs a row only behind or before a kept pair.
+    shared = (F.col("shared") + DISCOUNT) / float(totals["s"] + DISCOUNT * (totals["v"] + 1))
+    ends = kept_pairs.select("word").distinct().withColumn("end", F.lit(True))
+    kept_words = (
+        words.join(ends, "word", "left").join(backoff, "word", "full")
+        .where("end or toxic_mass > 0 or ordinary_mass > 0 or toxic_backoff is not null")
+        .select(
+            "word",
+            *[
+                F.coalesce(
+                    F.col(f"{c}_mass") / float(totals[f"{c}_before"]) + float(weight) * shared,
+                    F.lit(float(weight)),
+                ).alias(f"{c}_p")
+                for c, weight in zip(CLASSES, neutral)
+            ],
+            *[F.coalesce(f"{c}_backoff", F.lit(1.0)).alias(f"{c}_backoff") for c in CLASSES],
+        )
+    )
+    kept_words = stored(kept_words, "toxicity-kept-words")
+    if kept_words.count() + kept_pairs.count() > settings.expressions:
+        model = Model.by_key(kept_words, kept_pairs, neutral)
+    else:
+        model = Model.on_driver(kept_words, kept_pairs, neutral)
+    calibrate(model, curve_sample(marks, documents, settings))
     return model
 
 
-def excess(own: np.ndarray, other: np.ndarray, settings: Settings) -> np.ndarray:
-    """What is left of counts after the discount."""
-    chance = settings.deviations * np.sqrt(own + other)
-    return np.maximum(own - settings.margin * other - chance - DISCOUNT, 0)
-
-
-def smoothed(words: pd.DataFrame, pairs: pd.DataFrame, totals, settings: Settings) -> Model:
-    """Probabilities of the kept words and pairs, and the backoff weight behind each word.
-
-    Words that are not kept share their pooled mass evenly, alike in both classes.
-    """
-    words = words.assign(key=words["word"].to_numpy(np.int64).view(np.uint64)).sort_values("key")
-    keys = words["key"].to_numpy(np.uint64)
-    rest = max(1 - words["shared_before"].sum() / totals["s"], 1e-6)
-    rest_p = np.full(2, rest / max(totals["v"] - len(keys), 1))
-    toxic, ordinary = (words[c].to_numpy(float) for c in ("toxic_before", "ordinary_before"))
-    shared = np.minimum(toxic, ordinary) + DISCOUNT
-    word_p = np.empty((len(keys), 2))
-    for place, (own, other) in enumerate(((toxic, ordinary), (ordinary, toxic))):
-        kept = excess(own, other, settings) + shared
-        word_p[:, place] = (1 - rest) * kept / kept.sum() if len(kept) else 0
-    before = pairs["before"].to_numpy(np.int64).view(np.uint64)
-    after = pairs["word"].to_numpy(np.int64).view(np.uint64)
-    at = found(keys, before)
-    held = at >= 0
-    pair_p, backoff = np.zeros((len(before), 2)), np.ones((len(keys), 2))
-    for place, (own, other) in enumerate((("toxic", "ordinary"), ("ordinary", "toxic"))):
-        seen = np.maximum(words[own].to_numpy(float), 1)
-        left = excess(pairs[own].to_numpy(float), pairs[other].to_numpy(float), settings)
-        pair_p[held, place] = np.minimum(left[held] / seen[at[held]], 1)
-        used = np.bincount(at[held], weights=pair_p[held, place], minlength=len(keys))
-        backoff[:, place] = np.maximum(1 - used, 0.01)
-    pair_keys = mixed(before * STEP + after)
-    order = np.argsort(pair_keys)
-    return Model(keys, word_p, rest_p, pair_keys[order], pair_p[order], backoff)
-
-
 def found(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Place of each wanted key among sorted keys, -1 if it is none of them."""
     if not len(keys):
@@ -249,7 +332,7 @@ def evidence(texts: list[bytes], model: Model) -> np.ndarray:
     if not len(codes):
         return total
     at = found(model.words, hashes)
-    single = np.where(at[:, None] >= 0, model.word_p[at] if len(model.words) else model.rest_p, model.rest_p)
+    single = np.where(at[:, None] >= 0, model.word_p[at] if len(model.words) else model.neutral, model.neutral)
     weight = np.where(at[:, None] >= 0, model.backoff[at] if len(model.words) else 1.0, 1.0)
     starts = np.cumsum(counts) - counts
     full = counts > 0
@@ -267,6 +350,59 @@ def evidence(texts: list[bytes], model: Model) -> np.ndarray:
     return total / np.maximum(counts, 1)
 
 
+def keyed_evidence(rows: DataFrame, model: Model) -> DataFrame:
+    """Rows with ``_toxicity_evidence``, for a model too large to broadcast.
+
+    Word pairs meet the model by key and are summed for each text, named by its digest; equal
+    texts add to their sum and to their words alike.
+    """
+    words, pairs = model.frames
+    schema = "_toxicity_key string, before long, word long, times long"
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            codes, hashes, counts = hashed_words(texts_of(batch, "text"))
+            if not len(codes):
+                continue
+            named = np.array(batch.column("_toxicity_key").to_pylist(), dtype=object)
+            starts, full = np.cumsum(counts) - counts, np.flatnonzero(counts)
+            found, text = pair_codes(codes, counts, len(hashes))
+            at, unique = pd.factorize(found)
+            each, times = np.unique(at.astype(np.int64) * len(counts) + text, return_counts=True)
+            place, signed = unique[each // len(counts)], hashes.view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([named[full], named[each % len(counts)]]), pa.string()),
+                    pa.array([None] * len(full) + signed[place // len(hashes)].tolist(), pa.int64()),
+                    pa.array(np.concatenate([signed[codes[starts[full]]], signed[place % len(hashes)]])),
+                    pa.array(np.concatenate([np.ones(len(full), np.int64), times])),
+                ],
+                names=["_toxicity_key", "before", "word", "times"],
+            )
+
+    rows = rows.withColumn("_toxicity_key", F.sha2(F.coalesce("text", F.lit("")), 256))
+    found = ship(rows).select("_toxicity_key", "text").mapInArrow(parts, schema)
+    behind = words.select(F.col("word").alias("before"), *[f"{c}_backoff" for c in CLASSES])
+    single = words.select("word", *[F.col(f"{c}_p").alias(f"{c}_single") for c in CLASSES])
+    found = found.join(pairs, ["before", "word"], "left").join(behind, "before", "left").join(single, "word", "left")
+    likely = [
+        F.coalesce(f"{c}_p", F.lit(0.0))
+        + F.coalesce(f"{c}_backoff", F.lit(1.0)) * F.coalesce(f"{c}_single", F.lit(float(weight)))
+        for c, weight in zip(CLASSES, model.neutral)
+    ]
+    per_text = found.groupBy("_toxicity_key").agg(
+        (F.sum(F.col("times") * F.log(likely[0] / likely[1])) / F.sum("times")).alias("_toxicity_evidence")
+    )
+    joined = rows.join(per_text, "_toxicity_key", "left").drop("_toxicity_key")
+    return joined.withColumn("_toxicity_evidence", F.coalesce("_toxicity_evidence", F.lit(0.0)))
+
+
+def curve(model: Model) -> Column:
+    """Score by the column ``_toxicity_evidence``."""
+    x = F.col("_toxicity_evidence") * model.slope + model.offset
+    return 1 / (1 + F.exp(-F.greatest(F.least(x, F.lit(700.0)), F.lit(-700.0))))
+
+
 def calibrate(model: Model, rows: DataFrame) -> None:
     """Fit slope and offset of the logistic curve by Newton steps on the bounded sample."""
 
@@ -276,10 +412,10 @@ def calibrate(model: Model, rows: DataFrame) -> None:
                 {"x": evidence(texts_of(batch, "text"), model), "toxic": batch.column("toxic")}
             )
 
-    seen = rows.where("role = 'curve'").select("text", "toxic")
-    if len({r[0] for r in seen.select("toxic").distinct().collect()}) < 2:
-        seen = rows.select("text", "toxic")
-    table = seen.mapInArrow(measure, "x double, toxic int").toPandas()
+    if model.frames:
+        table = keyed_evidence(rows, model).select(F.col("_toxicity_evidence").alias("x"), "toxic").toPandas()
+    else:
+        table = ship(rows).select("text", "toxic").mapInArrow(measure, "x double, toxic int").toPandas()
     x, y = table["x"].to_numpy(float), table["toxic"].to_numpy(float)
     scale = float(np.std(x)) or 1.0
     design = np.column_stack([x / scale, np.ones(len(x))])
@@ -305,6 +441,8 @@ def scores(texts: list[bytes], model: Model | None) -> np.ndarray:
 def scored(documents: DataFrame, model: Model | None) -> DataFrame:
     """All rows and columns, with a column ``toxicity`` in place of any of that name."""
     documents = without(documents, "toxicity")
+    if model is not None and model.frames:
+        return keyed_evidence(documents, model).withColumn("toxicity", curve(model)).drop("_toxicity_evidence")
     schema = T.StructType([*documents.schema.fields, T.StructField("toxicity", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,6 +456,8 @@ def scored(documents: DataFrame, model: Model | None) -> DataFrame:
 
 def ordinary(documents: DataFrame, model: Model | None, bar: float = 0.5) -> DataFrame:
     """The rows whose score is below the bar, with their columns as they are."""
+    if model is not None and model.frames:
+        return keyed_evidence(documents, model).where(curve(model) < bar).drop("_toxicity_evidence")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

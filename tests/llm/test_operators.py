@@ -126,6 +126,107 @@ def test_toxicity(spark, documents, nothing):
     assert toxicity_kn.scored(nothing, model).count() == 0
 
 
+def plain_kneser_ney(texts: dict, toxic: dict, settings) -> dict:
+    """Evidence of each text, by counts over all texts."""
+    counted = {i for i in texts if i in toxic and zlib.crc32(str(i).encode()) % 5 > 1}
+    sizes = Counter(toxic[i] for i in counted)
+    docs, behind = (Counter(), Counter()), (Counter(), Counter())
+    every = set()
+    for i, text in texts.items():
+        words = text.lower().split()
+        pairs = set(zip(words, words[1:]))
+        every |= pairs
+        if i in counted:
+            docs[toxic[i]].update(pairs)
+            behind[toxic[i]].update(set(words))
+
+    def excess(own, other, ratio):
+        chance = settings.deviations * np.sqrt(max(ratio, 1) * (own + other))
+        return max(own - settings.margin * ratio * other - chance - 0.75, 0)
+
+    def left(found, key, kind, least):
+        own, other = found[kind][key], found[1 - kind][key]
+        return excess(own, other, sizes[kind] / sizes[1 - kind]) if own + other >= least else 0
+
+    def part(word, kind):
+        return left(behind, word, kind, settings.least_word) / max(behind[kind][word], 1)
+
+    shared = Counter(word for _, word in every)
+    shared = {word: n * (1 - max(part(word, 0), part(word, 1))) for word, n in shared.items()}
+    whole = sum(shared.values()) + 0.75 * (len(shared) + 1)
+    before = tuple(Counter(word for _, word in found) for found in docs)
+    seen = (Counter(), Counter())
+    for kind in (0, 1):
+        for (first, _), n in docs[kind].items():
+            seen[kind][first] += n
+
+    def model(kind):
+        mass = {
+            word: min(n * part(word, kind), max(n - settings.deviations * np.sqrt(n) - 0.75, 0))
+            for word, n in before[kind].items()
+        }
+        total = sum(before[kind].values())
+        neutral = 1 - sum(mass.values()) / total
+        pair_p, used = {}, Counter()
+        for first, word in docs[kind]:
+            p = left(docs, (first, word), kind, settings.least_pair) / seen[kind][first]
+            pair_p[first, word] = p
+            used[first] += p
+
+        def single(word):
+            return mass.get(word, 0) / total + neutral * (shared.get(word, 0) + 0.75) / whole
+
+        return single, lambda first, word: pair_p.get((first, word), 0) + (1 - used[first]) * single(word)
+
+    (single_o, pair_o), (single_t, pair_t) = model(0), model(1)
+    found = {}
+    for i, text in texts.items():
+        words = text.lower().split()
+        total = np.log(single_t(words[0]) / single_o(words[0]))
+        total += sum(np.log(pair_t(a, b) / pair_o(a, b)) for a, b in zip(words, words[1:]))
+        found[i] = total / len(words)
+    return found
+
+
+def test_toxicity_counts_grow_with_the_input(spark):
+    rng = np.random.default_rng(2)
+    texts, toxic, rare = {}, {}, 0
+    for i in range(22_000):
+        words = [f"w{k}" for k in rng.integers(0, 60, 6)]
+        if i < 20_000:
+            toxic[i] = i % 2
+        if i % 2 and i % 3:
+            words[4:] = ["vile", "fool"]
+        if i % 2 and i < 20_000 and rare < 10 and zlib.crc32(str(i).encode()) % 5 > 1:
+            words[:3] = [f"w{rare}", "scum", "w50"]  # in ten of some 6,000 counted toxic texts
+            rare += 1
+        if i >= 21_500:
+            words[0] = f"only{i}"  # a word that no label knows
+        texts[i] = " ".join(words)
+    documents = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    settings = toxicity_kn.Settings()
+    model = toxicity_kn.fitted(documents, labels, settings)
+    known, plain = toxicity_kn.evidence([b"w1 scum w2", b"w1 w5 w2"], model)
+    assert known > plain + 0.02
+    wanted = plain_kneser_ney(texts, toxic, settings)
+    got = toxicity_kn.evidence([texts[i].encode() for i in texts], model)
+    assert np.allclose(got, [wanted[i] for i in texts], rtol=0, atol=1e-9)
+    # Joined by key, as a model is that is too large to broadcast: equal scores.
+    keyed = toxicity_kn.fitted(documents, labels, toxicity_kn.Settings(expressions=0))
+    assert keyed.frames and np.isclose(keyed.slope, model.slope) and np.isclose(keyed.offset, model.offset)
+    few = documents.where("doc_id < 40").unionAll(documents.limit(3)).unionAll(
+        spark.createDataFrame([(None, None), (1, "")], "doc_id long, text string")
+    )
+    scores = [
+        sorted((r["doc_id"] or -1, r["text"] or "", round(r["toxicity"], 9)) for r in toxicity_kn.scored(few, m).collect())
+        for m in (model, keyed)
+    ]
+    assert scores[0] == scores[1] and len(scores[0]) == 45
+    kept = [sorted(r["doc_id"] or -1 for r in toxicity_kn.ordinary(few, m).collect()) for m in (model, keyed)]
+    assert kept[0] == kept[1] and toxicity_kn.ordinary(few, keyed).columns == few.columns
+
+
 def water_fill(sizes: dict) -> dict:
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
