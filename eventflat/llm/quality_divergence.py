@@ -6,8 +6,10 @@ divergence in bits, 0 to 1). References are sums over all documents of the langu
 
 Defined results: a null or empty text has no words, so the base rule fails it. A text below
 the minimum length is not judged by that distance (null). ``lang`` counts by its primary
-subtag of two or three letters; null and other values form one language of their own, and
-a language with too few words is judged by the sum over all languages. Repeated rows each
+subtag of two or three letters; null and other values form one language of their own. A
+language with too little reference text has no reference: its distances are null and the base
+rules alone decide, as other languages say nothing about it. Where the references are made of
+one language only, it has one at any size. Repeated rows each
 get their own equal result; other columns pass through, but for one named like the result.
 """
 
@@ -31,7 +33,6 @@ from .common import coded_words, cut, ship, slices, texts_of, without
 SYMBOLS = b"#*$%&|<>"
 CLASSES = ("lower", "upper", "foreign", "digit", "space", "line", "stop", "symbol", "other")
 LONG, SHORT = "long words", "other short words"
-EVERY = "*"
 
 RESULT = T.StructType(
     [
@@ -204,14 +205,13 @@ def language_references(documents: DataFrame, rules: Rules = Rules()) -> dict:
     classes, ``rules.common`` words and two rests.
     """
     counts = cut(language_counts(documents, rules))
-    every = counts.groupBy("kind", "item").agg(F.sum("n").alias("n"))
-    counts = counts.unionByName(every.withColumn("lang", F.lit(EVERY)))
     rest = F.col("kind").eqNullSafe("word") & (F.col("item") != LONG)
     totals = counts.groupBy("lang").agg(
         F.sum(F.when(F.col("kind") == "word", F.col("n"))).alias("words"),
         F.coalesce(F.sum(F.when(rest, F.col("n"))), F.lit(0)).alias("short"),
     )
-    large = totals.where((F.col("words") >= rules.least_reference_words) | (F.col("lang") == EVERY))
+    only = totals.count() == 1
+    large = totals.where((F.col("words") >= rules.least_reference_words) | F.lit(only))
     # The k greatest counts of a language, by an aggregate that holds k rows for each group.
     pair = F.struct(F.col("n").alias("n"), F.col("item").alias("item"))
     tops = (
@@ -298,7 +298,7 @@ def measured(texts: list[bytes], langs: list[str], references: dict, rules: Rule
     class_distance = np.full(size, np.nan)
     word_distance = np.full(size, np.nan)
     short = [short_word(word, rules.short) for word in distinct]
-    used = np.array([lang if lang in references else EVERY for lang in langs], dtype=object)
+    used = np.array(langs, dtype=object)
     for lang in dict.fromkeys(used):
         reference = references.get(lang)
         if reference is None:

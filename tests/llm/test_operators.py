@@ -91,6 +91,26 @@ def test_quality(documents, nothing):
     assert {r["doc_id"] for r in good.collect()} == {k[0] for k, r in rows.items() if r["kept"]}
 
 
+def test_quality_of_a_small_language_in_another_script(spark):
+    rng = np.random.default_rng(3)
+
+    def prose(letters: str) -> str:
+        words = ["".join(rng.choice(list(letters), rng.integers(2, 9))) for _ in range(80)]
+        return " ".join(words)
+
+    rows = [(i, prose("abcdefghijklmnop"), "en") for i in range(100)]
+    rows += [(200 + i, prose("абвгдежзиклмнопр"), "ru") for i in range(6)]
+    rows += [(300, "слово " * 80, "ru"), (301, prose("абвгд"), None)]
+    found = {
+        r["doc_id"]: r["quality"]
+        for r in quality_divergence.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    }
+    assert all(found[i]["class_distance"] is not None and found[i]["kept"] for i in range(100))
+    for i in (*range(200, 206), 300, 301):
+        assert found[i]["class_distance"] is None and found[i]["word_distance"] is None
+        assert found[i]["kept"] == (i != 300)  # the base rules still hold
+
+
 def test_divergence_is_jensen_shannon():
     p, q = np.array([[3.0, 1.0, 0.0]]), np.array([1.0, 1.0, 2.0])
     a, b = p[0] / 4, q / 4
