@@ -5,7 +5,8 @@ longest that fits decides. Where none fits, the host's standing in the link grap
 hosts whose pages the rules mostly allow are trusted seeds, hosts whose pages they mostly
 block are blocked seeds. Trust walks along the links between hosts (personalised PageRank
 from the trusted seeds), distrust walks against them from the blocked seeds, and a host is
-blocked when its distrust outweighs its trust by ``excess`` and is no mere trace.
+blocked when its distrust outweighs its trust by ``excess`` and is no mere trace. Both walks
+go on until they are settled well below that bar, however long the paths are.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, no rule and
 no links, and is allowed. A null page has no links. Repeated rows are pages of their own,
@@ -14,12 +15,13 @@ with equal verdicts. Without links, scores stay with the seeds. Extra columns ar
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, new_folder
 
 # Verdict, host, start of the path.
 RULES = (
@@ -31,9 +33,11 @@ RULES = (
 )
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DAMPING, ROUNDS, TOLERANCE = 0.85, 20, 1e-6
+DAMPING = 0.85
 #: Distrust over trust that blocks, and the least distrust in terms of an even share.
 EXCESS, TRACE = 2.0, 0.1
+#: Scores are settled to this part of the least distrust that blocks.
+SETTLED = 1e-3
 
 
 def behind_scheme(url: Column) -> Column:
@@ -92,11 +96,14 @@ def seeds(rows: DataFrame) -> DataFrame:
     )
 
 
-def propagated(hosts: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def propagated(hosts: DataFrame, links: DataFrame, rounds: int | None = None) -> DataFrame:
     """Standing of each host: columns kind (trust or distrust), host, score.
 
     Both walks run at once, as rows of two kinds. A walk returns to its seeds with the rest
-    of the damping and from hosts without a way on. Rounds end early once nothing moves.
+    of the damping and from hosts without a way on. A round shrinks the distance to the settled
+    scores by the damping at least, so a last change of c leaves c * DAMPING / (1 - DAMPING) at
+    most; rounds go on until that is below ``SETTLED`` of the bar that blocks. A walk's change
+    starts at 2 at most, which bounds the rounds; scores still unsettled then are an error.
     """
     ends = links.select(F.col("src").alias("host")).union(links.select("dst")).distinct()
     everyone = cut(hosts.join(ends, "host", "full").na.fill(0, ["trust", "distrust"]))
@@ -123,29 +130,44 @@ def propagated(hosts: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> Data
     if ways.isEmpty():
         return start.select("kind", "host", "score")
 
-    scores = start
-    for _ in range(rounds):
+    tolerance = SETTLED * TRACE / everyone.count() * (1 - DAMPING) / DAMPING
+    if rounds is None:
+        rounds = math.ceil(math.log(tolerance / 4) / math.log(DAMPING)) + 2
+    onward = ways.select("kind", "host").distinct().withColumn("onward", F.lit(True))
+    scores = start.join(onward, ["kind", "host"], "left").na.fill(False, ["onward"])
+    # Two folders in turn: a round reads one and replaces the other.
+    folders = [new_folder(start.sparkSession, "url-scores") for _ in range(2)]
+    scores = written(scores.withColumn("old", F.col("score")), folders[1])
+    sums = [
+        F.sum(F.when(F.col("onward"), F.col("score")).otherwise(0.0)).alias("kept"),
+        F.sum(F.abs(F.col("score") - F.col("old"))).alias("change"),
+    ]
+    totals = {row["kind"]: row for row in scores.groupBy("kind").agg(*sums).collect()}
+    for place in range(rounds):
+        # What leaves a host with a way on stays in the walk; the rest returns to the seeds.
+        trust, distrust = (F.lit(1 - DAMPING * totals[kind]["kept"]) for kind in ("trust", "distrust"))
+        back = F.when(F.col("kind") == "trust", trust).otherwise(distrust)
         given = (
-            ways.join(scores, ["kind", "host"])
+            ways.join(scores.select("kind", "host", "score"), ["kind", "host"])
             .groupBy("kind", F.col("to").alias("host"))
             .agg(F.sum(F.col("part") * F.col("score")).alias("given"))
         )
-        moved = cut(
-            scores.join(given, ["kind", "host"], "left").select(
-                "kind", "host", "seed", F.col("score").alias("old"),
-                (F.coalesce("given", F.lit(0.0)) * DAMPING).alias("got"),
-            )
-        )
-        kept = {row["kind"]: row["got"] for row in moved.groupBy("kind").agg(F.sum("got").alias("got")).collect()}
-        back = F.when(F.col("kind") == "trust", F.lit(1 - kept.get("trust", 0.0))).otherwise(
-            F.lit(1 - kept.get("distrust", 0.0))
+        new = scores.drop("old").join(given, ["kind", "host"], "left").select(
+            "kind", "host", "seed", "onward", F.col("score").alias("old"),
+            (F.coalesce("given", F.lit(0.0)) * DAMPING + F.col("seed") * back).alias("score"),
         )
-        new = cut(moved.withColumn("score", F.col("got") + F.col("seed") * back))
-        change = new.agg(F.sum(F.abs(F.col("score") - F.col("old")))).first()[0]
-        scores = new.select("kind", "host", "seed", "score")
-        if not change or change < TOLERANCE:
-            break
-    return scores.select("kind", "host", "score")
+        scores = written(new, folders[place % 2])
+        totals = {row["kind"]: row for row in scores.groupBy("kind").agg(*sums).collect()}
+        change = sum(row["change"] for row in totals.values())
+        if change < tolerance:
+            return scores.select("kind", "host", "score")
+    raise RuntimeError(f"host scores still change by {change} after {rounds} rounds; the bar is {tolerance}")
+
+
+def written(scores: DataFrame, folder: str) -> DataFrame:
+    """The same rows from Parquet in the folder, in place of what it held."""
+    scores.write.mode("overwrite").parquet(folder)
+    return scores.sparkSession.read.schema(scores.schema).parquet(folder)
 
 
 def blocked_hosts(scores: DataFrame, excess: float = EXCESS, trace: float = TRACE) -> DataFrame:

@@ -485,6 +485,40 @@ def test_url_graph(spark):
     assert url_graph.judged(data.limit(0)).count() == 0
 
 
+def plain_walk(seeds: dict, links: list) -> dict:
+    """Settled scores of one walk, by 400 rounds over a dense table."""
+    names = sorted({*seeds, *(x for link in links for x in link[:2])})
+    at = {name: i for i, name in enumerate(names)}
+    ways = np.zeros((len(names), len(names)))
+    for src, dst, n in links:
+        ways[at[dst], at[src]] += n
+    ways /= np.maximum(ways.sum(axis=0), 1)
+    seed = np.array([seeds.get(name, 0) for name in names], float)
+    seed /= max(seed.sum(), 1)
+    score = seed
+    for _ in range(400):
+        got = 0.85 * ways @ score
+        score = got + (1 - got.sum()) * seed
+    return dict(zip(names, score))
+
+
+def test_url_graph_settles_on_long_paths(spark):
+    chain = [f"h{i:02}.net" for i in range(25)] + ["bad.com"]
+    rows = [
+        (i, f"http://{host}/de/", f'<a href="http://{chain[i + 1]}/">' if i < 25 else "")
+        for i, host in enumerate(chain)
+    ]
+    data = spark.createDataFrame(rows, "page_id long, url string, html string")
+    links = [(b, a, 1) for a, b in zip(chain, chain[1:])]  # distrust walks against links
+    wanted = plain_walk({"bad.com": 1}, links)
+    pages = url_graph.with_rule(data)
+    verdicts = {r["host"]: r["verdict"] for r in url_graph.judged(data).collect()}
+    assert verdicts == {h: "block" if wanted[h] * 26 >= 0.1 else "allow" for h in chain}
+    assert wanted[chain[4]] * 26 >= 0.1  # 21 links from the seed
+    with pytest.raises(RuntimeError):
+        url_graph.propagated(url_graph.seeds(pages), url_graph.host_links(pages), rounds=2)
+
+
 def test_components_of_a_chain(spark):
     links = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     got = common.components(links).collect()
