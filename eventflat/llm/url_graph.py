@@ -83,7 +83,11 @@ def host_links(rows: DataFrame, html: str = "html") -> DataFrame:
 
 
 def seeds(rows: DataFrame) -> DataFrame:
-    """Hosts with trust and distrust of the rules, each kind adding up to 1."""
+    """Hosts that the rules trust or distrust: 1 where most pages speak for it, else 0.
+
+    Seeds of a kind count alike, however many pages they have: a large host takes no weight
+    from the others.
+    """
     votes = F.sum(
         F.when(F.col("rule_verdict") == "allow", 1).when(F.col("rule_verdict") == "block", -1)
         .otherwise(0)
@@ -91,8 +95,8 @@ def seeds(rows: DataFrame) -> DataFrame:
     hosts = rows.where("host <> ''").groupBy("host").agg(votes.alias("votes"))
     return hosts.select(
         "host",
-        F.greatest("votes", F.lit(0)).alias("trust"),
-        F.greatest(-F.col("votes"), F.lit(0)).alias("distrust"),
+        (F.col("votes") > 0).cast("int").alias("trust"),
+        (F.col("votes") < 0).cast("int").alias("distrust"),
     )
 
 

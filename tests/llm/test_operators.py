@@ -519,6 +519,14 @@ def test_url_graph_settles_on_long_paths(spark):
         url_graph.propagated(url_graph.seeds(pages), url_graph.host_links(pages), rounds=2)
 
 
+def test_url_graph_seeds_count_alike(spark):
+    pages = spark.range(40_000).selectExpr("'large.com' as host", "'block' as rule_verdict")
+    pages = pages.unionAll(spark.createDataFrame([("small.com", "block"), ("x.org", "allow")], pages.schema))
+    no_links = spark.createDataFrame([], "src string, dst string, n long")
+    scores = url_graph.propagated(url_graph.seeds(pages), no_links)
+    assert {r["host"] for r in url_graph.blocked_hosts(scores).collect()} == {"large.com", "small.com"}
+
+
 def test_components_of_a_chain(spark):
     links = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     got = common.components(links).collect()
