@@ -80,8 +80,53 @@ SELECT CAST(id AS BIGINT) AS vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links,
 FROM least LEFT JOIN counted ON a = id
 """
 
+#: Unsigned crc32 of the text of ``conv_id``, bit by bit.
+CRC32 = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+    string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda letter: list_transform(range(0, 8), lambda bit: (CAST(ascii(letter) AS BIGINT) >> bit) & 1)
+  ))), lambda crc, bit: xor(crc >> 1, (xor(crc, bit) & 1) * 3988292384)), 4294967295)"""
+
+CONVERSATIONS = rf"""
+WITH own AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id,
+    list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''),
+      sha256(CAST(octet_length(encode(coalesce(role, ''))) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))
+    ) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+drawn AS (SELECT *, {CRC32} % 4 AS h FROM own),
+rebuilt AS MATERIALIZED (
+  SELECT x.conv_id, list_concat(coalesce(y.turns, [])[1:x.h], x.turns[x.h + 1:]) AS turns
+  FROM drawn x LEFT JOIN own y ON y.conv_id = x.conv_id - x.conv_id % 20
+),
+steps AS (
+  SELECT conv_id, turns, depth, turns[1:depth] AS path
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt)
+),
+nodes AS MATERIALIZED (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(turns) = depth), '')) AS ends_sha256,
+    CASE WHEN depth = 0 THEN 0
+      ELSE (count(*) - 1) * len(regexp_extract_all(path[depth].text, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM steps GROUP BY path, depth
+),
+children AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children ON nodes.path = children.path
+),
+above AS (
+  SELECT path[1:a] AS path, sum(CAST(n_children = 0 AS BIGINT)) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM counted) GROUP BY 1
+)
+SELECT x.conv_id, x.depth, y.conv_id AS parent_conv_id, x.n_convs, CAST(x.n_children AS BIGINT) AS n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, x.ends_sha256
+FROM counted x JOIN above ON above.path = x.path
+LEFT JOIN nodes y ON x.depth > 0 AND y.path = x.path[1:x.depth - 1]
+"""
+
 ORACLE = {
     "op4_near_duplicates": NEAR_DUPLICATES,
     "op7_warc": WARC,
     "op9_embedding_near_duplicates": EMBEDDINGS,
+    "op12_conversation_trie": CONVERSATIONS,
 }

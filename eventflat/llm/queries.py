@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from . import (
     bpe,
+    conversation_trie,
     cover_tree,
     mixing,
     near_dup,
+    periodic_runs,
+    piece_table,
     quality_divergence,
     sharding,
     token_frames,
@@ -20,16 +23,17 @@ from . import (
 from .oracle import ORACLE
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +91,21 @@ def op10_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_graph.judged(table(spark, sf_dir, "pages"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.run_digests(periodic_runs.with_planted_tails(documents))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = conversation_trie.sequences(table(spark, sf_dir, "conversations"))
+    return conversation_trie.trie(conversation_trie.with_planted_heads(own))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return piece_table.digests(documents, tokenizer_path(PIECES)).select("doc_id", "pieces.*")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -100,6 +119,9 @@ QUERIES = {
         op8_bpe,
         op9_embedding_near_duplicates,
         op10_url_graph,
+        op11_periodic_runs,
+        op12_conversation_trie,
+        op13_sentencepiece,
     )
 }
 
