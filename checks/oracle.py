@@ -319,6 +319,16 @@ ORACLE = {
         "SELECT event_timestamp, event_name, page_location, CAST(value AS VARCHAR) AS value "
         "FROM e WHERE event_name IN ('click', 'purchase') AND filled"
     ),
+    "sink_table_append_new_key": _over_events(
+        "SELECT event_timestamp, event_name, page_location, CAST(value AS VARCHAR) AS value "
+        "FROM e WHERE event_name IN ('click', 'purchase') AND filled"
+    ),
+    "sink_table_day_other_keys": _over_events(f"""
+        SELECT event_timestamp, event_name, event_date, page_location,
+               CASE WHEN event_date <> '{DAY}' THEN page_referrer END AS page_referrer,
+               CASE WHEN event_date = '{DAY}' THEN CAST(value AS VARCHAR) END AS value,
+               {SECOND_ON_DAY} AS mark, CASE WHEN event_date = '{DAY}' THEN 'WEB' END AS platform
+        FROM e WHERE filled"""),
     "run_job_events": _purchases("AND item_count > 0"),
     "run_job_sessions": _sessions(ALL_SESSION_COLUMNS.format(gclid="''")),
     "run_job_counts": _over_events(

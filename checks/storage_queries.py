@@ -161,6 +161,45 @@ def sink_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sink_table_append_new_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks first, then purchases, whose struct has one more field."""
+    table, options = new_table(), {"path": new_folder(spark)}
+    nested = load_nested_events(spark, sf_dir)
+    for name in ("click", "purchase"):
+        table_sink(table, "scheduled", options=options)(flatten_events(nested, name))
+    return spark.read.table(table).select(
+        "event_timestamp", "event_name", "event_params.page_location", "event_params.value"
+    )
+
+
+def sink_table_day_other_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day is replaced by rows whose struct lacks a field, has others and another order."""
+    table = new_table()
+    marked = load_nested_events(spark, sf_dir).withColumns({"mark": F.lit("first")})
+
+    def flat(keys: list[str], *extras: str) -> DataFrame:
+        extras = ["mark", *extras]
+        return flatten_events(
+            marked, event_list=ALL_NAMES, additional_columns_to_select=extras, param_keys=keys
+        )
+
+    first = flat(["page_location", "page_referrer"])
+    table_sink(table, "backfill", "event_date", options={"path": new_folder(spark)})(first)
+    marked = marked.withColumns({"mark": F.lit("second")})
+    second = flat(["value", "page_location"], "platform").where(F.col("event_date") == F.lit(DAY))
+    table_sink(table, "scheduled", "event_date", run_date=DAY)(second)
+    return spark.read.table(table).select(
+        "event_timestamp",
+        "event_name",
+        F.col("event_date").cast("string").alias("event_date"),
+        "event_params.page_location",
+        "event_params.page_referrer",
+        "event_params.value",
+        "mark",
+        "platform",
+    )
+
+
 def _job(spark: SparkSession, sf_dir: str, job: str, params: dict, **more) -> tuple[dict, str]:
     folder = new_folder(spark)
     load_nested_events(spark, sf_dir).write.parquet(f"{folder}/in/{DAY}")
@@ -221,6 +260,8 @@ QUERIES = {
     "sink_table_day": sink_table_day,
     "sink_append": sink_append,
     "sink_schema_merge": sink_schema_merge,
+    "sink_table_append_new_key": sink_table_append_new_key,
+    "sink_table_day_other_keys": sink_table_day_other_keys,
     "run_job_events": run_job_events,
     "run_job_sessions": run_job_sessions,
     "run_job_counts": run_job_counts,

@@ -6,12 +6,10 @@ import datetime as dt
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.errors import AnalysisException, ParseException, UnsupportedOperationException
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.params import quoted
+from .evolution import fitted_to, lacking, staged, widen
 from .files import Sink, Source
 from .layout import arrange, column_list, only_day, parse_day
 
@@ -44,9 +42,11 @@ def table_sink(
 
     A scheduled write replaces the partition of ``run_date`` when the table has a day
     column, and appends when it has none. Scheduled rows are matched to the table by name, in
-    nested fields too: absent fields become NULL, new ones are added to the table first, and
-    where its catalog cannot add them the write is an error that names them. A backfill of a partitioned table is rebalanced
-    by day, as it holds many. ``options`` may name a ``path`` for the files.
+    nested fields too: absent fields become NULL, and the table gets new ones, old rows with
+    NULL. Rows with new fields are staged first, so that a row of another day, or any other
+    failure of the rows, leaves the table as it was; where the catalog cannot add fields the
+    write is an error that names them. A backfill of a partitioned table is rebalanced by
+    day, as it holds many. ``options`` may name a ``path`` for the files.
     """
     if write_mode not in (BACKFILL, SCHEDULED):
         raise ValueError(f"unknown write_mode {write_mode!r}")
@@ -62,19 +62,25 @@ def table_sink(
             writer = writer.partitionBy(*partitions)
         writer.saveAsTable(table)
 
+    def put(rows: DataFrame) -> None:
+        if day is None:
+            save(fitted_to(rows, table), "append")
+        else:
+            _replace_partition(fitted_to(rows, table), table, partition_field, day, clusters)
+
     def write(data: DataFrame) -> None:
+        spark = data.sparkSession
+        rows = data if day is None else only_day(data, partition_field, day)
         if write_mode == BACKFILL:
             save(data, "overwrite")
-        elif day is None:
-            known = data.sparkSession.catalog.tableExists(table)
-            save(fitted_to(data, table) if known else data, "append")
+        elif not spark.catalog.tableExists(table):
+            save(rows, "append" if day is None else "overwrite")
+        elif not lacking(spark, table, rows.schema):
+            put(rows)
         else:
-            rows = only_day(data, partition_field, day)
-            if data.sparkSession.catalog.tableExists(table):
-                rows = fitted_to(rows, table)
-                _replace_partition(rows, table, partition_field, day, clusters)
-            else:
-                save(rows, "overwrite")
+            with staged(rows, table) as kept:
+                widen(spark, table, rows.schema)
+                put(kept)
 
     return write
 
@@ -91,74 +97,3 @@ def _replace_partition(
         f"SELECT {listed} FROM {{rows}}",
         rows=arrange(rows, [], clusters),
     )
-
-
-def _by_name(schema: T.StructType, case_sensitive: bool) -> dict[str, T.StructField]:
-    return {field.name if case_sensitive else field.name.lower(): field for field in schema.fields}
-
-
-def new_fields(
-    source: T.DataType, target: T.DataType, case_sensitive: bool = False, path: str = ""
-) -> list[tuple[str, T.DataType]]:
-    """Fields of the source, nested ones too, that the target lacks: SQL path and type."""
-    if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
-        inner = f"{path}element."
-        return new_fields(source.elementType, target.elementType, case_sensitive, inner)
-    if not (isinstance(source, T.StructType) and isinstance(target, T.StructType)):
-        return []
-    known, found = _by_name(target, case_sensitive), []
-    for name, field in _by_name(source, case_sensitive).items():
-        own = path + quoted(field.name)
-        if name not in known:
-            found.append((own, field.dataType))
-        else:
-            found += new_fields(field.dataType, known[name].dataType, case_sensitive, own + ".")
-    return found
-
-
-def matched(value: Column, source: T.DataType, target: T.DataType, case_sensitive: bool) -> Column:
-    """The value in the target's type, struct fields by name and NULL where it has none."""
-    if source == target:
-        return value
-    if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
-        inner, outer = source.elementType, target.elementType
-        return F.transform(value, lambda item: matched(item, inner, outer, case_sensitive))
-    if isinstance(source, T.StructType) and isinstance(target, T.StructType):
-        known = _by_name(source, case_sensitive)
-        fields = []
-        for name, field in _by_name(target, case_sensitive).items():
-            if name in known:
-                own = matched(
-                    value.getField(known[name].name), known[name].dataType, field.dataType, case_sensitive
-                )
-            else:
-                own = F.lit(None).cast(field.dataType)
-            fields.append(own.alias(field.name))
-        return F.when(value.isNotNull(), F.struct(*fields))
-    return value.cast(target)
-
-
-def fitted_to(data: DataFrame, table: str) -> DataFrame:
-    """The rows in the table's columns, after the table has got the fields it lacks."""
-    spark = data.sparkSession
-    case_sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
-    lacking = new_fields(data.schema, spark.table(table).schema, case_sensitive)
-    if lacking:
-        names = [path.replace("`", "") for path, _ in lacking]
-        columns = ", ".join(f"{path} {kind.simpleString()}" for path, kind in lacking)
-        try:
-            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-        except (AnalysisException, ParseException, UnsupportedOperationException) as error:
-            raise ValueError(
-                f"table {table} lacks the fields {names} and its catalog cannot add them"
-            ) from error
-    source = _by_name(data.schema, case_sensitive)
-    columns = []
-    for name, field in _by_name(spark.table(table).schema, case_sensitive).items():
-        if name in source:
-            own = source[name]
-            value = matched(data[quoted(own.name)], own.dataType, field.dataType, case_sensitive)
-        else:
-            value = F.lit(None).cast(field.dataType)
-        columns.append(value.alias(field.name))
-    return data.select(*columns)

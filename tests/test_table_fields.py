@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventflat.operators import discover_param_keys
-from eventflat.sources import table_sink
+from eventflat.sources import evolution, table_sink
 
 
 @pytest.fixture
@@ -45,13 +45,76 @@ def test_append_fields_go_by_name(spark, table):
     assert sorted(got, key=str) == sorted([("A1", "B1"), (None, "B2")], key=str)
 
 
-@pytest.mark.parametrize("day", [True, False])
-def test_new_nested_field_is_refused_by_name(spark, table, day):
-    sink = (lambda d: scheduled(table, d)) if day else (lambda d: table_sink(table, "scheduled"))
-    sink("2024-01-14")(rows(spark, "2024-01-14", a="A1", b="B1"))
+def sink_of(table, by_day, day):
+    return scheduled(table, day) if by_day else table_sink(table, "scheduled")
+
+
+def files_of(spark, table):
+    return {row[0] for row in spark.table(table).select("_metadata.file_path").collect()}
+
+
+@pytest.mark.parametrize("by_day", [True, False])
+def test_new_nested_field_is_added(spark, table, by_day):
+    sink_of(table, by_day, "2024-01-14")(rows(spark, "2024-01-14", a="A1", b="B1"))
+    before = files_of(spark, table)
+    sink_of(table, by_day, "2024-01-15")(rows(spark, "2024-01-15", **{"c.d`e": "C2", "a": "A2"}))
+    got = spark.table(table).select("event_params.*")
+    assert got.columns == ["a", "b", "c.d`e"]
+    assert sorted(got.collect(), key=str) == [("A1", "B1", None), ("A2", None, "C2")]
+    assert before < files_of(spark, table)
+    assert not spark.catalog.listTables(pattern=f"{table}_staged*")
+
+
+def test_new_fields_deep_inside(spark, table):
+    sink = table_sink(table, "scheduled")
+    sink(spark.sql("select array(struct(1 as a)) as l, map('k', struct(1 as a)) as m, 1 as same"))
+    sink(spark.sql("""select 5 as `top.x`, map('k', struct(struct('s' as `q.r`) as b, 2 as a)) as m,
+                      array(struct(3 as b, 2 as a)) as l"""))
+    got = spark.sql(
+        f"select l[0].a, l[0].b, m['k'].a, m['k'].b.`q.r`, same, `top.x` from {table} order by same"
+    ).collect()
+    assert [tuple(row) for row in got] == [(2, 3, 2, "s", None, 5), (1, None, 1, None, 1, None)]
+
+
+@pytest.mark.parametrize("by_day", [True, False])
+def test_catalog_that_cannot_add_fields(spark, table, by_day, monkeypatch):
+    def cannot(*_):
+        raise NotImplementedError
+
+    sink_of(table, by_day, "2024-01-14")(rows(spark, "2024-01-14", a="A1", b="B1"))
+    monkeypatch.setattr(evolution, "register_anew", cannot)
     with pytest.raises(ValueError, match="event_params.c"):
-        sink("2024-01-15")(rows(spark, "2024-01-15", a="A2", c="C2"))
+        sink_of(table, by_day, "2024-01-15")(rows(spark, "2024-01-15", a="A2", c="C2"))
     assert spark.table(table).select("event_params.*").collect() == [("A1", "B1")]
+    assert not spark.catalog.listTables(pattern=f"{table}_staged*")
+
+
+def test_refused_day_leaves_the_table_as_it_was(spark, table):
+    scheduled(table, "2024-01-14")(rows(spark, "2024-01-14", a="A1"))
+    schema = spark.table(table).schema
+    other = rows(spark, "2024-01-16", a="A2", c="C2").withColumn("extra", F.lit(5))
+    with pytest.raises(Exception, match="only 2024-01-15 may be written"):
+        scheduled(table, "2024-01-15")(other)
+    assert spark.table(table).schema == schema
+    assert spark.table(table).select("event_params.a").collect() == [("A1",)]
+    assert not spark.catalog.listTables(pattern=f"{table}_staged*")
+
+
+def test_failed_append_leaves_the_table_as_it_was(spark, table):
+    sink = table_sink(table, "scheduled")
+    sink(rows(spark, "2024-01-14", a="A1"))
+    schema = spark.table(table).schema
+    bad = rows(spark, "2024-01-15", a="A2").withColumn("extra", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        sink(bad)
+    assert spark.table(table).schema == schema and spark.table(table).count() == 1
+
+
+def test_day_that_is_replaced_twice_with_other_keys(spark, table):
+    for day, keys in [("14", {"a": "1"}), ("15", {"b": "2"}), ("15", {"c": "3", "a": "4"})]:
+        scheduled(table, f"2024-01-{day}")(rows(spark, f"2024-01-{day}", **keys))
+    got = spark.table(table).select("event_params.*").collect()
+    assert sorted(got, key=str) == [("1", None, None), ("4", None, "3")]
 
 
 def test_new_column_is_added(spark, table):
