@@ -1,13 +1,15 @@
 """Expressions over the repeated key/value array ``event_params``.
 
 They are written as SQL text: a pivot over many keys is then built in one call instead of
-a dozen per key. Look-ups go through ``array_position`` on the key array instead of a
+a dozen per key. Single look-ups go through ``array_position`` on the key array instead of a
 lambda: they can be compiled, as long as a projection has few enough nested fields, and a
 look-up of one typed slot lets the parquet scan skip the other slots.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,3 +76,32 @@ def entries_with_value(value_type: T.StructType, params: str = PARAMS) -> str:
 def has_pivot_key(params: str = PARAMS) -> str:
     """True when some key other than ``items`` is present."""
     return f"array_max(array_remove({params}.key, {literal(ITEMS_KEY)})) is not null"
+
+
+def keyed_once(params: str) -> str:
+    """The entries that have a key, the first of each key, in array order.
+
+    That is nearly always all of them, which is settled without a lambda.
+    """
+    return (
+        f"if(size(array_distinct({params}.key)) = size({params}), {params}, "
+        f"filter({params}, (entry, place) -> array_position({params}.key, entry.key) = place + 1))"
+    )
+
+
+def with_key(params: str) -> str:
+    """The entries that have a key."""
+    kept = f"filter({params}, entry -> entry.key is not null)"
+    # False only if no key is NULL.
+    return f"if(array_contains({params}.key, '') = false, {params}, {kept})"
+
+
+def texts_by_key(keys: Sequence[str], params: str) -> str:
+    """A struct of the texts of all these keys in one pass over entries with distinct keys.
+
+    The entries become one object, whose fields the cast puts to their places by name: the
+    cost is the number of entries and keys, not their product.
+    """
+    texts = f"transform({params}, entry -> {value_text('entry.value')})"
+    fields = ", ".join(f"{quoted(key)}: string" for key in keys)
+    return f"cast(to_variant_object(map_from_arrays({params}.key, {texts})) as struct<{fields}>)"

@@ -13,11 +13,15 @@ from ..functions.params import (
     SLOTS,
     entries_with_value,
     has_pivot_key,
+    keyed_once,
     literal,
     param_value,
     quoted,
+    texts_by_key,
     value_text,
+    with_key,
 )
+from .columns import hashable
 
 # Columns that tell events apart; events equal on all of them are one.
 EVENT_IDENTITY = (
@@ -38,6 +42,9 @@ IDENTIFIER_KEYS = ("user_pseudo_id", "user_id")
 
 SESSION_KEY = "ga_session_id"
 
+#: Keys from which on reading all of them in one pass is faster than looking up each.
+ONE_PASS_KEYS = 64
+
 
 def explode_params(data: DataFrame, *carry: str) -> DataFrame:
     """One row per (event, parameter); events without parameters give none."""
@@ -78,47 +85,75 @@ def struct_keys(keys: Sequence[str], case_sensitive: bool = False) -> list[str]:
     return fields
 
 
+def identity_hash(data: DataFrame, carried: Sequence[str]) -> str | None:
+    """A 64-bit hash of the columns, but for those Spark cannot hash; None if that is all."""
+    hashed = [quoted(name) for name in carried if hashable(data.schema[name].dataType)]
+    return f"xxhash64({', '.join(hashed)})" if hashed else None
+
+
 def pivot_params(
-    events: DataFrame, keys: Sequence[str], carry: Sequence[str], merge: bool = True
+    events: DataFrame,
+    keys: Sequence[str],
+    carry: Sequence[str],
+    merge: bool = True,
+    one_pass_keys: int | None = None,
 ) -> DataFrame:
     """Turn ``event_params`` into a struct with one text field per key.
 
     Gives the ``carry`` columns, ``session_text`` (text of the session parameter, whether
-    or not it is among the keys) and ``event_params``. The pivot looks each key up inside
-    its own row, so nothing is exploded. With ``merge`` the events equal on all ``carry``
-    columns become one row: per key the first value that is set, events being ordered by
-    a fingerprint of their parameters. The merge is a partial aggregate, so copies of an
-    event collapse before they are shuffled.
+    or not it is among the keys) and ``event_params``. Nothing is exploded: a few keys are
+    looked up one by one inside their row, from ``one_pass_keys`` (``ONE_PASS_KEYS``) on all
+    are read in one pass, with the same result. With ``merge`` the events equal on all ``carry`` columns become one row: per key
+    the first value that is set, events being ordered by a fingerprint of their parameters.
+    The merge is a partial aggregate, so copies of an event collapse before they are
+    shuffled; its first key is a hash of the others, which settles nearly every comparison.
     """
-    wanted = list(keys) if SESSION_KEY in keys else [*keys, SESSION_KEY]
-    names = {key: f"_param_{number}" for number, key in enumerate(wanted)}
+    one_pass = len(keys) >= (ONE_PASS_KEYS if one_pass_keys is None else one_pass_keys)
     carried = [quoted(name) for name in carry]
-
     value_type = events.schema[PARAMS].dataType.elementType["value"].dataType
     rows = events.where(has_pivot_key()).selectExpr(
         *carried,
         f"{entries_with_value(value_type)} as _entries",
         f"xxhash64({PARAMS}) as _fingerprint",
     )
-    # Values first, their texts in a second projection: one search per key, not one per slot.
-    values = rows.selectExpr(
-        *carried,
-        "_fingerprint",
-        *[f"{param_value(key, '_entries')} as {name}" for key, name in names.items()],
-    )
-    texts = values.selectExpr(
-        *carried, "_fingerprint", *[f"{value_text(n)} as {n}" for n in names.values()]
-    )
+    kept = [*carried, "_fingerprint"]
+    if not one_pass:
+        wanted = list(keys) if SESSION_KEY in keys else [*keys, SESSION_KEY]
+        names = {key: f"_param_{number}" for number, key in enumerate(wanted)}
+        # Values first, their texts then: one search per key, not one per slot.
+        values = [f"{param_value(key, '_entries')} as {name}" for key, name in names.items()]
+        texts = rows.selectExpr(*kept, *values).selectExpr(
+            *kept, *[f"{value_text(name)} as {name}" for name in names.values()]
+        )
+        session = names[SESSION_KEY]
+    else:
+        session = "_session"
+        names = {key: f"_texts.{quoted(key)}" for key in keys}
+        rows = rows.selectExpr(*kept, f"{with_key('_entries')} as _entries")
+        rows = rows.selectExpr(
+            *kept,
+            f"{keyed_once('_entries')} as _entries",
+            f"{param_value(SESSION_KEY, '_entries')} as _session",
+        )
+        texts = rows.selectExpr(
+            *kept,
+            f"{texts_by_key(keys, '_entries')} as _texts",
+            f"{value_text('_session')} as _session",
+        )
     if merge:
-        texts = texts.groupBy(*carried).agg(
-            *[
-                F.expr(f"min_by({n}, if({n} is null, null, _fingerprint)) as {n}")
-                for n in names.values()
-            ]
+        first = "min_by({0}, if({0} is null, null, _fingerprint)) as {1}"
+        merged = {name: f"_param_{number}" for number, name in enumerate([*names.values()])}
+        merged.setdefault(session, "_session")
+        identity = identity_hash(events, carry)
+        grouped = texts.selectExpr("*", f"{identity} as _identity") if identity else texts
+        texts = grouped.groupBy(*(["_identity"] if identity else []), *carried).agg(
+            *[F.expr(first.format(name, own)) for name, own in merged.items()]
         )
+        names = {key: merged[name] for key, name in names.items()}
+        session = merged[session]
+    elif one_pass:
+        return texts.selectExpr(*carried, "_session as session_text", f"_texts as {PARAMS}")
     fields = ", ".join(f"{literal(key)}, {names[key]}" for key in keys)
     return texts.selectExpr(
-        *carried,
-        f"{names[SESSION_KEY]} as session_text",
-        f"named_struct({fields}) as {PARAMS}",
+        *carried, f"{session} as session_text", f"named_struct({fields}) as {PARAMS}"
     )
