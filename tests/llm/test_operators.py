@@ -146,62 +146,77 @@ def test_toxicity(spark, documents, nothing):
     assert toxicity_kn.scored(nothing, model).count() == 0
 
 
-def plain_kneser_ney(texts: dict, toxic: dict, settings) -> dict:
-    """Evidence of each text, by counts over all texts."""
+def plain_kneser_ney(texts: dict, toxic: dict, settings, distinct: dict) -> dict:
+    """Evidence of each text, by counts over all texts; ``distinct`` numbers are given."""
     counted = {i for i in texts if i in toxic and zlib.crc32(str(i).encode()) % 5 > 1}
     sizes = Counter(toxic[i] for i in counted)
     docs, behind = (Counter(), Counter()), (Counter(), Counter())
     every = set()
+
+    def stems(text):
+        return [word[: toxicity_kn.STEM] for word in text.lower().split()]
+
     for i, text in texts.items():
-        words = text.lower().split()
+        words = stems(text)
         pairs = set(zip(words, words[1:]))
         every |= pairs
         if i in counted:
             docs[toxic[i]].update(pairs)
             behind[toxic[i]].update(set(words))
+    exact = {"all": len(every), "toxic": len(docs[1]), "ordinary": len(docs[0])}
+    exact["words"] = len({word for text in texts.values() for word in stems(text)})
+    for name, number in exact.items():
+        assert abs(distinct[name] / number - 1) < 0.03
 
     def excess(own, other, ratio):
         chance = settings.deviations * np.sqrt(max(ratio, 1) * (own + other))
         return max(own - settings.margin * ratio * other - chance - 0.75, 0)
 
-    def left(found, key, kind, least):
-        own, other = found[kind][key], found[1 - kind][key]
-        return excess(own, other, sizes[kind] / sizes[1 - kind]) if own + other >= least else 0
+    def left(found, key, kind):
+        return excess(found[kind][key], found[1 - kind][key], sizes[kind] / sizes[1 - kind])
 
     def part(word, kind):
-        return left(behind, word, kind, settings.least_word) / max(behind[kind][word], 1)
+        return left(behind, word, kind) / max(behind[kind][word], 1)
 
-    shared = Counter(word for _, word in every)
-    shared = {word: n * (1 - max(part(word, 0), part(word, 1))) for word, n in shared.items()}
-    whole = sum(shared.values()) + 0.75 * (len(shared) + 1)
+    contexts = Counter(word for _, word in every)
+    claimed = {word: n * max(part(word, 0), part(word, 1)) for word, n in contexts.items()}
     before = tuple(Counter(word for _, word in found) for found in docs)
     seen = (Counter(), Counter())
     for kind in (0, 1):
         for (first, _), n in docs[kind].items():
             seen[kind][first] += n
+    # Pairs and words whose contexts count: the others cannot have a weight.
+    ratio = sizes[1] / sizes[0]
+    hopeful = {pair for pair, n in docs[1].items() if excess(n, 0, ratio) > 0}
+    pair_left = {pair: (left(docs, pair, 0), left(docs, pair, 1)) for pair in hopeful}
+    kept = {pair for pair, own in pair_left.items() if sum(own) > 0}
+    wanted = {w for w in contexts if part(w, 0) + part(w, 1) > 0} | {w for _, w in hopeful}
+    whole = distinct["all"] - sum(claimed[w] for w in wanted) + 0.75 * (distinct["words"] + 1)
 
     def model(kind):
         mass = {
-            word: min(n * part(word, kind), max(n - settings.deviations * np.sqrt(n) - 0.75, 0))
-            for word, n in before[kind].items()
+            word: min(before[kind][word] * part(word, kind),
+                      max(before[kind][word] - settings.deviations * np.sqrt(before[kind][word]) - 0.75, 0))
+            for word in wanted
         }
-        total = sum(before[kind].values())
+        total = distinct[("ordinary", "toxic")[kind]]
         neutral = 1 - sum(mass.values()) / total
         pair_p, used = {}, Counter()
-        for first, word in docs[kind]:
-            p = left(docs, (first, word), kind, settings.least_pair) / seen[kind][first]
+        for first, word in kept:
+            p = pair_left[first, word][kind] / max(seen[kind][first], 1)
             pair_p[first, word] = p
             used[first] += p
 
         def single(word):
-            return mass.get(word, 0) / total + neutral * (shared.get(word, 0) + 0.75) / whole
+            shared = contexts[word] - claimed.get(word, 0)
+            return mass.get(word, 0) / total + neutral * (shared + 0.75) / whole
 
         return single, lambda first, word: pair_p.get((first, word), 0) + (1 - used[first]) * single(word)
 
     (single_o, pair_o), (single_t, pair_t) = model(0), model(1)
     found = {}
     for i, text in texts.items():
-        words = text.lower().split()
+        words = stems(text)
         total = np.log(single_t(words[0]) / single_o(words[0]))
         total += sum(np.log(pair_t(a, b) / pair_o(a, b)) for a, b in zip(words, words[1:]))
         found[i] = total / len(words)
@@ -229,7 +244,8 @@ def test_toxicity_counts_grow_with_the_input(spark):
     model = toxicity_kn.fitted(documents, labels, settings)
     known, plain = toxicity_kn.evidence([b"w1 scum w2", b"w1 w5 w2"], model)
     assert known > plain + 0.02
-    wanted = plain_kneser_ney(texts, toxic, settings)
+    assert len(model.pairs) and len(model.words)
+    wanted = plain_kneser_ney(texts, toxic, settings, model.distinct)
     got = toxicity_kn.evidence([texts[i].encode() for i in texts], model)
     assert np.allclose(got, [wanted[i] for i in texts], rtol=0, atol=1e-9)
     # Joined by key, as a model is that is too large to broadcast: equal scores.
