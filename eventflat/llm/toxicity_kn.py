@@ -18,11 +18,11 @@ count where a toxic text holds them; others rest on their words in both models.
 evidence is the difference of log-likelihoods per word; a logistic curve, fitted on documents
 that the counts have not seen, makes it a score.
 
-Counts are exact and of all labelled rows that may be learned from, contexts of all texts,
-gathered in two passes. The first counts words, and pairs of toxic texts: as many rows as
-words. What the discount leaves nothing of, whatever the other counts are, is known then;
-the second pass looks up the contexts of the other words, and of those that end one of the
-other pairs, in all texts. Numbers of all distinct pairs and words, which only scale the models, come
+Counts are exact and of all labelled rows that may be learned from, contexts of all texts.
+A first pass over the labelled texts counts words, and the pairs of toxic ones. Pairs that
+the discount leaves nothing of, whatever the ordinary texts hold, are known then; a second
+pass counts the others there. A pass over all texts gathers the contexts of words that have
+a weight of their own or end a pair that has: no pass sends all pairs of a text on. Numbers of all distinct pairs and words, which only scale the models, come
 from a sketch (HyperLogLog of 2 ** 14 places, standard error 0.8 %). Only the curve is
 fitted on a bounded sample (``Settings.calibration`` documents, chosen by hash). Of the model
 only expressions that set a class apart need rows, as all others have equal ratios: up to
@@ -65,10 +65,12 @@ LABELS = 1_000_000
 
 @dataclass(frozen=True)
 class Settings:
-    """Documents for the curve, expressions that are broadcast, weights of the discount."""
+    """Documents for the curve; expressions of a model, and keys of 8 bytes to look for, that are
+    broadcast (more are joined by key, with equal results); weights of the discount."""
 
     calibration: int = 8_000
     expressions: int = 200_000
+    keys: int = 2_000_000
     margin: float = 3.0
     deviations: float = 1.5
 
@@ -250,12 +252,12 @@ def estimate(places: np.ndarray) -> float:
     return size * np.log(size / empty) if empty and plain < 2.5 * size else float(plain)
 
 
-def contexts(rows: DataFrame, words: np.ndarray | None) -> DataFrame:
+def contexts(rows: DataFrame, words: np.ndarray | None, pairs: np.ndarray | None = None) -> DataFrame:
     """Columns before, word, toxic, ordinary, sketch over all rows.
 
-    Pairs whose word is among ``words`` (sorted hashes; None takes all), with their labelled
-    documents. A task adds rows without pair: sketches of its distinct pairs (of all texts,
-    toxic and ordinary ones) and words.
+    Pairs whose word is among ``words`` (sorted hashes), or that are among ``pairs`` (sorted
+    keys), with their labelled documents; without either all pairs. A task adds rows without
+    pair: sketches of its distinct pairs (of all texts, toxic and ordinary ones) and words.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,6 +273,8 @@ def contexts(rows: DataFrame, words: np.ndarray | None) -> DataFrame:
             taken = np.arange(len(keys))
             if words is not None:
                 taken = np.flatnonzero(found(words, own.hashes)[own.word] >= 0)
+            elif pairs is not None:
+                taken = np.flatnonzero(found(pairs, keys) >= 0)
             columns = {"toxic": toxic[taken], "ordinary": ordinary[taken]}
             columns["sketch"] = pa.nulls(len(taken), pa.binary())
             yield counts_rows(own.hashes, own.before[taken], own.word[taken], columns, False)
@@ -324,6 +328,19 @@ def could_stand(own: str, ratio: float, settings: Settings) -> Column:
     return own - settings.deviations * F.sqrt(max(ratio, 1.0) * own) - DISCOUNT > 0
 
 
+def sorted_keys(data: DataFrame) -> np.ndarray:
+    """Words, or pairs, of a frame of bounded size as sorted keys."""
+    found = [column.to_numpy(np.int64).view(np.uint64) for _, column in data.toPandas().items()]
+    return np.sort(found[0] if len(found) == 1 else mixed(found[0] * STEP + found[1]))
+
+
+def summed(pairs: DataFrame) -> DataFrame:
+    """Documents of each class by pair."""
+    return pairs.where("sketch is null").groupBy("before", "word").agg(
+        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")
+    )
+
+
 def fitted(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:
     """The model; None without labels of both classes."""
     marks = cut(with_roles(labels))
@@ -343,28 +360,25 @@ def fitted(documents: DataFrame, labels: DataFrame, settings: Settings = Setting
     words = first.where("before is null").drop("before").withColumns(left)
     part = {c: F.when(F.col(c) > 0, F.col(f"{c}_left") / F.col(c)).otherwise(0.0) for c in CLASSES}
     words = words.select("word", *[part[c].alias(f"{c}_part") for c in CLASSES], *[f"{c}_seen" for c in CLASSES])
-    # Pairs that can have a weight: of those that toxic texts hold often enough.
-    hopeful = stored(
-        first.where(F.col("before").isNotNull() & could_stand("toxic", ratio, settings)).select("before", "word"),
-        "toxicity-hopeful",
-    )
+    # Pairs that toxic texts hold often enough to have a weight, and their documents.
+    hopeful = first.where(F.col("before").isNotNull() & could_stand("toxic", ratio, settings))
+    hopeful = stored(hopeful.select("before", "word"), "toxicity-hopeful")
+    if hopeful.count() <= settings.keys:
+        pairs = summed(contexts(learned, None, sorted_keys(hopeful)))
+    else:
+        pairs = summed(contexts(learned, None)).join(hopeful, ["before", "word"], "left_semi")
+    apart = pairs.withColumns(left).where("toxic_left + ordinary_left > 0")
+    apart = cut(apart.select("before", "word", "toxic_left", "ordinary_left"))
+    # Words that a class sets apart, or that end such a pair: their contexts are counted.
     wanted = words.where("toxic_part > 0 or ordinary_part > 0").select("word")
-    wanted = stored(wanted.union(hopeful.select("word")).distinct(), "toxicity-wanted")
+    wanted = stored(wanted.union(apart.select("word")).distinct(), "toxicity-wanted")
     marked = texts.join(counted, "doc_id", "left")
-    # Words that a class may set apart, or that end such a pair: their contexts are counted.
-    if wanted.count() <= settings.expressions:
-        listed = np.sort(wanted.toPandas()["word"].to_numpy(np.int64).view(np.uint64))
-        seen = stored(contexts(marked, listed), "toxicity-contexts")
-        numbers = distinct_numbers(seen)
-        asked = seen.where("sketch is null")
+    if wanted.count() <= settings.keys:
+        seen = stored(contexts(marked, sorted_keys(wanted)), "toxicity-contexts")
+        numbers, pairs = distinct_numbers(seen), summed(seen)
     else:
         numbers = distinct_numbers(contexts(marked, np.zeros(0, np.uint64)))
-        asked = contexts(marked, None).where("sketch is null").join(wanted, "word", "left_semi")
-    pairs = cut(
-        asked.groupBy("before", "word").agg(
-            F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")
-        )
-    )
+        pairs = summed(contexts(marked, None)).join(wanted, "word", "left_semi")
     if not numbers["toxic"] or not numbers["ordinary"]:
         return None
 
@@ -392,9 +406,7 @@ def fitted(documents: DataFrame, labels: DataFrame, settings: Settings = Setting
     neutral = np.array([1 - (totals[f"{c}_mass"] or 0.0) / numbers[c] for c in CLASSES])
     whole = numbers["all"] - (totals["claimed"] or 0.0) + DISCOUNT * (numbers["words"] + 1)
 
-    # Pairs that set a class apart; the others rest on the words and need no row.
-    apart = pairs.join(small(hopeful, LABELS), ["before", "word"]).withColumns(left)
-    apart = apart.where("toxic_left + ordinary_left > 0").select("before", "word", "toxic_left", "ordinary_left")
+    # Pairs that set a class apart have rows; the others rest on the words.
     seen = words.select(F.col("word").alias("before"), *[f"{c}_seen" for c in CLASSES])
     kept_pairs = stored(
         seen.join(small(apart, LABELS), "before").select(
