@@ -329,6 +329,15 @@ ORACLE = {
                CASE WHEN event_date = '{DAY}' THEN CAST(value AS VARCHAR) END AS value,
                {SECOND_ON_DAY} AS mark, CASE WHEN event_date = '{DAY}' THEN 'WEB' END AS platform
         FROM e WHERE filled"""),
+    "sink_clustered": _over_events(
+        "SELECT event_date, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_overlaps, "
+        "count(*) >= 150 AS half_skipped FROM e WHERE filled GROUP BY event_date"
+    ),
+    "run_job_key_index": _over_events(f"""
+        SELECT CAST(run AS BIGINT) AS run, count(*) AS rows_written,
+               CASE WHEN run = 0 THEN replace('{FIELD_NAMES}', ',value', '') ELSE '{FIELD_NAMES}' END AS keys
+        FROM e JOIN range(2) AS runs(run) ON event_name = 'click' OR (run = 1 AND event_name = 'purchase')
+        WHERE filled GROUP BY run"""),
     "run_job_events": _purchases("AND item_count > 0"),
     "run_job_sessions": _sessions(ALL_SESSION_COLUMNS.format(gclid="''")),
     "run_job_counts": _over_events(

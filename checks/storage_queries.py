@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventflat import (
@@ -200,6 +200,34 @@ def sink_table_day_other_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sink_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per day: rows, files whose range of times overlaps another's, whether a look-up of one
+    time may skip at least half of the rows."""
+    folder, nested = new_folder(spark), load_nested_events(spark, sf_dir)
+    flat = flatten_events(nested, event_list=ALL_NAMES, param_keys=["page_location"])
+    with_small_files = file_sink(
+        f"{folder}/small", "overwrite", "event_date", options={"maxRecordsPerFile": 50},
+        cluster_by="event_timestamp",
+    )
+    with_small_files(flat)
+    files = (
+        spark.read.parquet(f"{folder}/small")
+        .groupBy("event_date", F.col("_metadata.file_path").alias("file"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("event_timestamp").alias("low"), F.max("event_timestamp").alias("high"))
+    )
+    before = F.max("high").over(
+        Window.partitionBy("event_date").orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    probe = F.max("low").over(Window.partitionBy("event_date"))
+    marked = files.select("*", (before > F.col("low")).alias("overlaps"), probe.alias("probe"))
+    skipped = F.sum(F.when((F.col("low") > F.col("probe")) | (F.col("high") < F.col("probe")), F.col("n")).otherwise(0))
+    return marked.groupBy(F.col("event_date").cast("string").alias("event_date")).agg(
+        F.sum("n").alias("n_rows"),
+        F.count_if("overlaps").alias("n_overlaps"),
+        (2 * skipped >= F.sum("n")).alias("half_skipped"),
+    )
+
+
 def _job(spark: SparkSession, sf_dir: str, job: str, params: dict, **more) -> tuple[dict, str]:
     folder = new_folder(spark)
     load_nested_events(spark, sf_dir).write.parquet(f"{folder}/in/{DAY}")
@@ -245,6 +273,28 @@ def run_job_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(found, "written boolean, rows_written long")
 
 
+def run_job_key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files, the second after the first run: the index tells the keys of both."""
+    folder = new_folder(spark)
+    nested = load_nested_events(spark, sf_dir)
+    found = []
+    for number, name in enumerate(["click", "purchase"]):
+        nested.where(F.col("event_name") == name).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        report = run_job(
+            spark,
+            {
+                "job": "flatten_events",
+                "params": {"event_list": ALL_NAMES},
+                "key_index": f"{folder}/keys",
+                "source": {"type": "parquet", "path": f"{folder}/in"},
+                "sink": {"type": "parquet", "path": f"{folder}/out{number}"},
+            },
+        )
+        names = spark.read.parquet(f"{folder}/out{number}").schema["event_params"].dataType.names
+        found.append((number, report["rows_written"], ",".join(names)))
+    return spark.createDataFrame(found, "run long, rows_written long, keys string")
+
+
 QUERIES = {
     "source_flat": source_flat,
     "source_dated": source_dated,
@@ -260,10 +310,12 @@ QUERIES = {
     "sink_table_day": sink_table_day,
     "sink_append": sink_append,
     "sink_schema_merge": sink_schema_merge,
+    "sink_clustered": sink_clustered,
     "sink_table_append_new_key": sink_table_append_new_key,
     "sink_table_day_other_keys": sink_table_day_other_keys,
     "run_job_events": run_job_events,
     "run_job_sessions": run_job_sessions,
     "run_job_counts": run_job_counts,
     "run_job_empty": run_job_empty,
+    "run_job_key_index": run_job_key_index,
 }

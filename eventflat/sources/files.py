@@ -22,10 +22,18 @@ from .layout import (
 )
 
 Source = Callable[[SparkSession], DataFrame]
-Sink = Callable[[DataFrame], None]
+#: Writes a frame; a second argument is applied to the rows just before they are written.
+Sink = Callable[..., None]
 
 OVERWRITE_DAY = "overwrite_day"
 
+#: Formats whose files tell their number of rows, so that a count reads no column.
+COUNTED_FORMATS = ("parquet", "orc")
+
+
+def as_it_is(data: DataFrame) -> DataFrame:
+    return data
+
 
 def parquet_source(
     path: str,
@@ -80,6 +88,7 @@ def _file_source(
         data = reader.load(location) if location is not None else reader.load()
         return data if where is None else data.where(where)
 
+    read.counted_by_files = file_format in COUNTED_FORMATS
     return read
 
 
@@ -110,8 +119,9 @@ def file_sink(
     """Files under ``path``, optionally one folder per value of the partition columns.
 
     Mode ``overwrite_day`` replaces the folder of ``run_date`` only; the first partition
-    column is then the day. Other modes are Spark's. A partitioned write is
-    rebalanced by one shuffle; without ``rebalance`` every task leaves a file per folder.
+    column is then the day. Other modes are Spark's. A partitioned write is rebalanced by one
+    shuffle, one with ``cluster_by`` deals rows out by range of those columns; without
+    ``rebalance`` every task leaves a file per folder.
     """
     file_format = format.lower()
     partitions, clusters = column_list(partition_by), column_list(cluster_by)
@@ -121,11 +131,11 @@ def file_sink(
             raise ValueError(f"mode {OVERWRITE_DAY!r} needs partition_by")
         day = parse_day(run_date)
 
-    def write(data: DataFrame) -> None:
+    def write(data: DataFrame, last: Callable[[DataFrame], DataFrame] = as_it_is) -> None:
         reject_nested_csv(file_format, data.schema)
         if day is not None:
             data = only_day(data, partitions[0], day)
-        writer = arrange(data, partitions, clusters, rebalance).write.format(file_format)
+        writer = last(arrange(data, partitions, clusters, rebalance)).write.format(file_format)
         writer = writer.options(**(options or {}))
         if day is not None:
             writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.params import quoted
+from ..operators.columns import hashable
+
+# Layouts of a source.
 FLAT = "flat"
 DATED = "date_partitioned"
 
@@ -66,11 +70,21 @@ def arrange(
 ) -> DataFrame:
     """Distribute and sort rows for the files they go to.
 
-    Rebalancing brings the rows of a partition folder together, splits a folder that is
-    too big for one task and joins small ones, at the price of one shuffle; without it
-    every task writes a file into each folder it has rows for. The sort is by partition
-    first, which the writer needs anyway.
+    Cluster columns deal the rows out by range, partition columns first, so that files of a
+    folder hold ranges of their own and a reader skips those, and row groups in them, that
+    cannot hold what it looks for. A hash of the row comes last among the range keys, so that
+    a value with very many rows still spreads over tasks. The bounds take a look at the rows:
+    what comes after the last shuffle in front runs twice. Without cluster columns,
+    rebalancing brings the rows of a partition folder together, splits a folder that is too
+    big for one task and joins small ones. Either is one shuffle; without it every task
+    writes a file into each folder it has rows for, sorted by cluster columns in itself.
     """
-    if rebalance and partition_by:
+    if rebalance and cluster_by:
+        tie = [field.name for field in data.schema.fields if hashable(field.dataType)]
+        keys = [F.col(quoted(name)) for name in (*partition_by, *cluster_by)]
+        data = data.repartitionByRange(*keys, F.xxhash64(*[F.col(quoted(name)) for name in tie]))
+    elif rebalance and partition_by:
         data = data.hint("rebalance", *partition_by)
-    return data.sortWithinPartitions(*partition_by, *cluster_by) if cluster_by else data
+    if not cluster_by:
+        return data
+    return data.sortWithinPartitions(*[quoted(name) for name in (*partition_by, *cluster_by)])

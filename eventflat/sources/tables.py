@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.params import quoted
 from .evolution import fitted_to, lacking, staged, widen
-from .files import Sink, Source
+from .files import Sink, Source, as_it_is
 from .layout import arrange, column_list, only_day, parse_day
 
 # Modes of a table write.
@@ -46,7 +46,7 @@ def table_sink(
     NULL. Rows with new fields are staged first, so that a row of another day, or any other
     failure of the rows, leaves the table as it was; where the catalog cannot add fields the
     write is an error that names them. A backfill of a partitioned table is rebalanced by
-    day, as it holds many. ``options`` may name a ``path`` for the files.
+    day, as it holds many; ``cluster_fields`` deal the rows of a day out by range. ``options`` may name a ``path`` for the files.
     """
     if write_mode not in (BACKFILL, SCHEDULED):
         raise ValueError(f"unknown write_mode {write_mode!r}")
@@ -54,40 +54,40 @@ def table_sink(
     partitions = column_list(partition_field)
     day = parse_day(run_date) if write_mode == SCHEDULED and partitions else None
 
-    def save(data: DataFrame, mode: str) -> None:
-        many_days = write_mode == BACKFILL
-        writer = arrange(data, partitions, clusters, many_days).write.format(format)
+    def save(data: DataFrame, mode: str, last: Callable[[DataFrame], DataFrame]) -> None:
+        spread = write_mode == BACKFILL or bool(clusters)
+        writer = last(arrange(data, partitions, clusters, spread)).write.format(format)
         writer = writer.mode(mode).options(**(options or {}))
         if partitions:
             writer = writer.partitionBy(*partitions)
         writer.saveAsTable(table)
 
-    def put(rows: DataFrame) -> None:
+    def put(rows: DataFrame, last: Callable[[DataFrame], DataFrame]) -> None:
+        rows = fitted_to(rows, table)
         if day is None:
-            save(fitted_to(rows, table), "append")
+            save(rows, "append", last)
         else:
-            _replace_partition(fitted_to(rows, table), table, partition_field, day, clusters)
+            rows = last(arrange(rows, [], clusters, bool(clusters)))
+            _replace_partition(rows, table, partition_field, day)
 
-    def write(data: DataFrame) -> None:
+    def write(data: DataFrame, last: Callable[[DataFrame], DataFrame] = as_it_is) -> None:
         spark = data.sparkSession
         rows = data if day is None else only_day(data, partition_field, day)
         if write_mode == BACKFILL:
-            save(data, "overwrite")
+            save(data, "overwrite", last)
         elif not spark.catalog.tableExists(table):
-            save(rows, "append" if day is None else "overwrite")
+            save(rows, "append" if day is None else "overwrite", last)
         elif not lacking(spark, table, rows.schema):
-            put(rows)
+            put(rows, last)
         else:
             with staged(rows, table) as kept:
                 widen(spark, table, rows.schema)
-                put(kept)
+                put(kept, last)
 
     return write
 
 
-def _replace_partition(
-    rows: DataFrame, table: str, field: str, day: dt.date, clusters: Sequence[str]
-) -> None:
+def _replace_partition(rows: DataFrame, table: str, field: str, day: dt.date) -> None:
     """Overwrite one partition with a constant partition value: no other is touched."""
     spark = rows.sparkSession
     names = [name for name in spark.table(table).columns if name != field]
@@ -95,5 +95,5 @@ def _replace_partition(
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION ({quoted(field)} = DATE'{day}') "
         f"SELECT {listed} FROM {{rows}}",
-        rows=arrange(rows, [], clusters),
+        rows=rows,
     )
