@@ -3,7 +3,7 @@
 Every page is a record in a gzip member of its own. Of records with equal payloads of at
 least ``LEAST`` bytes the one with the smallest page id is a response; the others are
 revisit records without payload that name it. The reader deals out byte ranges of the
-archives: a task looks for the gzip magic in its range, accepts a candidate when its header
+archives that were listed when written, a task each: a task looks for the gzip magic in its range, accepts a candidate when its header
 decodes as a WARC header, and owns the records that start inside the range. It decompresses
 a record piece by piece, however long, and looks on behind its end.
 
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -25,9 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_folder, ship, slices, storage
+from .common import new_folder, ship, slices, small, storage, stored
 
 LEAST = 100
+#: Groups of equal payloads whose digests are broadcast, some 100 bytes each.
+GROUPS = 500_000
 #: Bytes of archive that one reading task scans, and bytes fetched at a time.
 RANGE, PIECE = 4_000_000, 1 << 18
 ARCHIVE = 256_000_000
@@ -48,7 +51,8 @@ def digested(pages: DataFrame) -> DataFrame:
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     ).withColumns({"payload_bytes": F.octet_length("html"), "digest": F.sha2("html", 256)})
-    # Payloads that occur once need no look-up: only groups of copies are joined.
+    # Payloads that occur once need no look-up: only groups of copies are joined. Payloads are
+    # not shuffled for it, as long as the digests of the groups are few enough to broadcast.
     groups = (
         rows.where(F.col("payload_bytes") >= LEAST)
         .groupBy("digest")
@@ -56,8 +60,9 @@ def digested(pages: DataFrame) -> DataFrame:
         .where("n > 1")
         .select("digest", "first")
     )
+    groups = stored(groups, "warc-groups")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    return rows.join(groups, "digest", "left").withColumn("refers_to", refers).drop("first")
+    return rows.join(small(groups, GROUPS), "digest", "left").withColumn("refers_to", refers).drop("first")
 
 
 def record(row: dict) -> bytes:
@@ -86,20 +91,21 @@ def record(row: dict) -> bytes:
 
 
 def write_archives(pages: DataFrame, folder: str) -> None:
-    """Write one or more ``*.warc.gz`` for each task; a repeated task replaces its own files."""
+    """Write one or more ``*.warc.gz`` for each task, and their list into ``written``.
+
+    Names hold the task's attempt: what a lost attempt has left is not on the list.
+    """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = storage(folder)
         task = TaskContext.get()
-        stream, own, number, size, done = None, "", 0, 0, []
+        stream, name, size, done = None, "", 0, []
 
         def finish() -> None:
-            nonlocal stream, number, size
+            nonlocal stream, size
             stream.close()
-            name = f"pages-{task.partitionId():06d}-{number:04d}.warc.gz"
-            system.move(own, f"{base}/{name}")
-            done.append(name)
-            stream, number, size = None, number + 1, 0
+            done.append((name, size))
+            stream, size = None, 0
 
         for batch in slices(batches, "html"):
             columns = batch.to_pydict()
@@ -108,8 +114,9 @@ def write_archives(pages: DataFrame, folder: str) -> None:
                 row["html"] = row["html"].encode("utf-8")
                 if stream is None:
                     system.create_dir(base, recursive=True)
-                    own = f"{base}/.pages-{task.partitionId()}-{number}-{task.taskAttemptId()}"
-                    stream = system.open_output_stream(own, compression=None)
+                    attempt = f"{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
+                    name = f"pages-{attempt}-{len(done):04d}.warc.gz"
+                    stream = system.open_output_stream(f"{base}/{name}", compression=None)
                 packed = record(row)
                 stream.write(packed)
                 size += len(packed)
@@ -117,9 +124,13 @@ def write_archives(pages: DataFrame, folder: str) -> None:
                     finish()
         if stream is not None:
             finish()
-        yield pa.RecordBatch.from_pydict({"file": pa.array(done, pa.string())})
+        names, sizes = [name for name, _ in done], [size for _, size in done]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), pa.array(sizes, pa.int64())], names=["file", "length"]
+        )
 
-    ship(digested(pages)).mapInArrow(write, "file string").write.parquet(f"{folder}/written")
+    rows = ship(digested(pages)).mapInArrow(write, "file string, length long")
+    rows.write.parquet(f"{folder}/written")
 
 
 class Pieces:
@@ -247,14 +258,14 @@ def records_in(file, start: int, stop: int) -> Iterator[dict]:
 
 
 def read_archives(spark, folder: str, span: int = RANGE) -> DataFrame:
-    """One row per record of the archives in ``folder``; files are listed by Spark."""
+    """One row per record of the archives that the list in ``folder`` names."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = storage(folder)
         for batch in batches:
             for row in batch.to_pylist():
-                system, path = storage(row["path"])
                 held = []
-                with system.open_input_file(path) as file:
+                with system.open_input_file(f"{base}/{row['file']}") as file:
                     for found in records_in(file, row["start"], min(row["start"] + span, row["length"])):
                         held.append(found)
                         if len(held) >= 5_000:
@@ -262,13 +273,12 @@ def read_archives(spark, folder: str, span: int = RANGE) -> DataFrame:
                             held = []
                 yield pa.RecordBatch.from_pylist(held, schema=SCHEMA)
 
-    listed = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
-        .select("path", "length").where("length > 0")
-    )
+    listed = spark.read.parquet(f"{folder}/written").where("length > 0")
     starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(span).cast("long"))
-    ranges = ship(listed).select("path", "length", F.explode(starts).alias("start"))
-    return ranges.repartition("path", "start").mapInArrow(read, RECORD)
+    ranges = listed.select("file", "length", F.explode(starts).alias("start"))
+    # A number of partitions that adaptive execution leaves alone: rows of ranges are tiny, the
+    # work behind them is not.
+    return ship(ranges).repartition(max(1, ranges.count())).mapInArrow(read, RECORD)
 
 
 SCHEMA = pa.schema(
