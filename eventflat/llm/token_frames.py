@@ -4,10 +4,11 @@ A file holds one independent zstandard frame per document (ids as little-endian
 32-bit integers), then a frame with the directory (document ids), then a seek table in a
 skippable frame: compressed size, size and checksum (low half of XXH64) of each frame, the
 number of frames, a descriptor and a magic number, as the public seekable format lays down.
-A reader fetches the table and the directory and decompresses the documents it wants only.
+A reader fetches the table and the directory and decompresses the documents it wants only:
+``read_documents`` takes ids, opens the files that can hold them and no other frames.
 
-Files go to the shared folder, in ascending ``doc_id`` order over all files. A task writes
-under a name of its own and renames at the end, so a repeated task does no harm.
+Files go to the shared folder, in ascending ``doc_id`` order over all files. Names hold the
+task's attempt and the manifest lists them, so a repeated task does no harm.
 
 Defined results: a null text is an empty document, of the end id only. Null ids come first;
 rows that repeat an id are documents of their own, in an order settled by their texts. An
@@ -16,63 +17,121 @@ empty table gives no file and no row. Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
+import unicodedata
+import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import new_folder, ship, slices, storage, texts_of
+from .common import cut, new_folder, ship, slices, storage, texts_of
 
 # Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 FOOTER = struct.Struct("<IBI")
 ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("checksum", "<u4")])
 
-#: Pieces that a worker keeps, some 150 bytes each; a full cache starts anew.
-CACHE = 500_000
+#: Pieces of a generation of a worker's cache, some 150 bytes each; two are kept.
+CACHE = 300_000
+#: Pieces that go through the library at a time.
+TOGETHER = 2_000
+#: Documents that one reading task fetches at a time, and bytes of ids that it reads.
+READ_FRAMES, READ_BYTES = 2_000, 32_000_000
 
-#: Documents that one reading task fetches.
-READ_FRAMES = 2_000
 
+class Encoder:
+    """The tokenizers library behind a cache of the pieces that its own pattern gives.
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    A text is normalised and split as the file says, and special tokens are set apart. The
+    distinct pieces that are not known yet go through the library as one text, a space
+    between them: each gives ids of which the last one, and no other, ends a word. Where
+    the numbers do not agree, pieces go one by one.
+    """
 
-    return Tokenizer.from_file(path), {}
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        self.library = Tokenizer.from_file(path)
+        suffix = content["model"]["end_of_word_suffix"]
+        vocab = content["model"]["vocab"]
+        special = {token["content"]: token["id"] for token in content["added_tokens"]}
+        self.ends = np.zeros(max([*vocab.values(), *special.values()]) + 1, dtype=bool)
+        self.ends[[id for token, id in vocab.items() if token.endswith(suffix)]] = True
+        self.special = {text: struct.pack("<I", id) for text, id in special.items()}
+        self.marks = regex.compile("(" + "|".join(map(regex.escape, special)) + ")")
+        self.pattern = regex.compile(content["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def pieces(self, text: str) -> list[str]:
+        plain = unicodedata.normalize("NFC", text)
+        # Letter by letter: a capital sigma has one lower case wherever it stands.
+        plain = plain.lower() if "Σ" not in plain else "".join(map(str.lower, plain))
+        return self.pattern.findall(plain)
+
+    def learn(self, pieces: list[str]) -> None:
+        found = np.array(self.library.encode(" ".join(pieces), add_special_tokens=False).ids, dtype="<u4")
+        stops = np.flatnonzero(self.ends[found]) + 1
+        if len(stops) == len(pieces) and (not len(found) or stops[-1] == len(found)):
+            packed = found.tobytes()
+            bounds = [0, *(4 * stops).tolist()]
+            for piece, start, stop in zip(pieces, bounds, bounds[1:]):
+                self.known[piece] = packed[start:stop]
+            return
+        for piece, one in zip(pieces, self.library.encode_batch_fast(pieces, add_special_tokens=False)):
+            self.known[piece] = np.array(one.ids, dtype="<u4").tobytes()
+
+    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
+        split = []
+        for text in texts:
+            plain = text.decode("utf-8", "replace")
+            if "<|" in plain:
+                parts = self.marks.split(plain)
+                split.append([x for p in parts for x in ([p] if p in self.special else self.pieces(p))])
+            else:
+                split.append(self.pieces(plain))
+        wanted = {piece for pieces in split for piece in pieces}
+        if len(self.known) > CACHE:
+            self.known, self.older = {}, self.known
+        missing = []
+        for piece in wanted:
+            if piece not in self.known:
+                ids = self.special.get(piece) or self.older.get(piece)
+                if ids is None:
+                    missing.append(piece)
+                else:
+                    self.known[piece] = ids
+        for start in range(0, len(missing), TOGETHER):
+            self.learn(missing[start : start + TOGETHER])
+        for pieces in split:
+            yield b"".join(map(self.known.__getitem__, pieces))
 
 
-def encoded(texts: list[bytes], path: str, end_id: int) -> Iterator[bytes]:
-    """Ids of each text with the end id, by the tokenizers library.
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder for each worker and file."""
+    return Encoder(path)
 
-    The tokenizer of the file drops white space and no match of its pattern crosses it, so
-    the ids of a text are those of its pieces between white space, in order. Each distinct
-    piece goes through the library once and stays in a bounded cache of the worker.
-    """
-    own, known = tokenizer(path)
+
+def encoded(texts: list[bytes], path: str, end_id: int) -> Iterator[bytes]:
+    """Ids of each text with the end id, by the tokenizers library."""
     end = struct.pack("<I", end_id)
-    split = [text.split() for text in texts]
-    wanted = {piece for pieces in split for piece in pieces}
-    if len(known) > CACHE:
-        known.clear()
-    missing = [piece for piece in wanted if piece not in known]
-    for start in range(0, len(missing), 10_000):
-        part = missing[start : start + 10_000]
-        plain = [piece.decode("utf-8", "replace") for piece in part]
-        for piece, found in zip(part, own.encode_batch_fast(plain, add_special_tokens=False)):
-            known[piece] = np.array(found.ids, dtype="<u4").tobytes()
-    for pieces in split:
-        yield b"".join(map(known.__getitem__, pieces)) + end
+    for ids in encoder(path).ids(texts):
+        yield ids + end
 
 
 class FrameWriter:
@@ -109,7 +168,7 @@ class FrameReader:
     """Reads the table and the directory of an open file, then the frames asked for."""
 
     def __init__(self, file):
-        self.file = file
+        self.file, self.unpacker = file, zstandard.ZstdDecompressor()
         size = file.size()
         count, flags, magic = FOOTER.unpack(self._at(size - FOOTER.size, FOOTER.size))
         if magic != SEEKABLE or flags != CHECKSUMS:
@@ -130,7 +189,7 @@ class FrameReader:
     def frame(self, place: int) -> bytes:
         """One frame, decompressed and checked."""
         packed, size, checksum = (int(value) for value in self.entries[place])
-        content = zstandard.ZstdDecompressor().decompress(self._at(self.starts[place], packed))
+        content = self.unpacker.decompress(self._at(self.starts[place], packed))
         if len(content) != size or xxhash.xxh64_intdigest(content) & 0xFFFFFFFF != checksum:
             raise ValueError(f"frame {place} does not match its checksum")
         return content
@@ -139,33 +198,33 @@ class FrameReader:
 def write_frames(documents: DataFrame, path: str, folder: str, end_id: int = 2) -> DataFrame:
     """Write the files into ``folder`` and return their manifest, one row per file.
 
-    Columns file, documents, tokens (of the file) and start (tokens of all earlier files).
+    Columns file, first and last id, documents, tokens (of the file) and start (tokens of all
+    earlier files).
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = storage(folder)
         task = TaskContext.get()
-        name = f"tokens-{task.partitionId():06d}.zst"
-        own = f"{base}/.{name}-{task.taskAttemptId()}"
+        name = f"tokens-{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}.zst"
         writer, stream = None, None
         for batch in slices(batches, "text"):
             ids = batch.column("doc_id").to_pylist()
             for doc_id, content in zip(ids, encoded(texts_of(batch, "text"), path, end_id)):
                 if writer is None:
                     system.create_dir(base, recursive=True)
-                    stream = system.open_output_stream(own, compression=None)
+                    stream = system.open_output_stream(f"{base}/{name}", compression=None)
                     writer = FrameWriter(stream)
                 writer.document(doc_id, content)
         if writer is None:
             return
         writer.close()
         stream.close()
-        system.move(own, f"{base}/{name}")
         tokens = sum(size for _, size, _ in writer.entries[:-1]) // 4
         yield pa.RecordBatch.from_pydict(
             {
                 "file": [name],
                 "first": pa.array([writer.ids[0]], pa.int64()),
+                "last": pa.array([writer.ids[-1]], pa.int64()),
                 "documents": pa.array([len(writer.ids)], pa.int64()),
                 "tokens": pa.array([tokens], pa.int64()),
             }
@@ -174,54 +233,116 @@ def write_frames(documents: DataFrame, path: str, folder: str, end_id: int = 2)
     ordered = (
         ship(documents)
         .select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange("doc_id")
+        # The text's hash splits an id that very many rows share.
+        .repartitionByRange("doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", F.xxhash64("text"))
     )
-    written = ordered.mapInArrow(write, "file string, first long, documents long, tokens long")
+    schema = "file string, first long, last long, documents long, tokens long"
+    written = ordered.mapInArrow(write, schema)
     manifest = f"{folder}/manifest"
     written.write.parquet(manifest)
-    # One row per file: the window is over files, not documents.
-    earlier = Window.orderBy(F.asc_nulls_first("first")).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per file: the window is over files, not documents. Their names are in order.
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     return documents.sparkSession.read.parquet(manifest).select(
-        "file", "documents", "tokens", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("start")
+        "file", "first", "last", "documents", "tokens", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("start")
     )
 
 
+READ = "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long"
+
+
+def read_places(reader: FrameReader, places: Iterator[int], start: int) -> Iterator[pa.RecordBatch]:
+    """Rows of the documents at these places of a file, a batch of bounded size at a time."""
+    held, at, size = [], [], 0
+
+    def batch() -> pa.RecordBatch:
+        own = np.array(at)
+        return pa.RecordBatch.from_pydict(
+            {
+                "doc_id": pa.array(reader.ids[own], mask=reader.known[own] == 0),
+                "start": pa.array(start + reader.before[own] // 4),
+                "n_tokens": pa.array([len(x) // 4 for x in held], pa.int64()),
+                "ids": pa.array(held, pa.binary()),
+                "ids_crc32": pa.array([zlib.crc32(x) for x in held], pa.int64()),
+            }
+        )
+
+    for place in places:
+        at.append(place)
+        held.append(reader.frame(place))
+        size += len(held[-1])
+        if size > 8_000_000 or len(at) >= READ_FRAMES:
+            yield batch()
+            held, at, size = [], [], 0
+    if at:
+        yield batch()
+
+
 def read_frames(manifest: DataFrame, folder: str) -> DataFrame:
-    """Rows (doc_id, start, n_tokens, ids) of all documents in the files of a manifest."""
+    """Rows (doc_id, start, n_tokens, ids, ids_crc32) of all documents in a manifest's files."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = storage(folder)
         for batch in batches:
             for row in batch.to_pylist():
                 with system.open_input_file(f"{base}/{row['file']}") as file:
-                    yield from rows(FrameReader(file), row)
-
-    def rows(reader: FrameReader, row: dict) -> Iterator[pa.RecordBatch]:
-        stop = min(row["frame"] + READ_FRAMES, len(reader.ids))
-        places, held = [], []
-        for place in range(row["frame"], stop):
-            places.append(place)
-            held.append(reader.frame(place))
-            if place == stop - 1 or sum(map(len, held[-64:])) > 8_000_000:
-                at = np.array(places)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": pa.array(reader.ids[at], mask=reader.known[at] == 0),
-                        "start": pa.array(row["start"] + reader.before[at] // 4),
-                        "n_tokens": pa.array([len(x) // 4 for x in held], pa.int64()),
-                        "ids": pa.array(held, pa.binary()),
-                        "ids_crc32": pa.array([zlib.crc32(x) for x in held], pa.int64()),
-                    }
-                )
-                places, held = [], []
+                    reader = FrameReader(file)
+                    stop = min(row["frame"] + READ_FRAMES, len(reader.ids))
+                    yield from read_places(reader, range(row["frame"], stop), row["start"])
 
     parts = manifest.select(
         "file", "start", F.explode(F.sequence(F.lit(0), F.col("documents") - 1, F.lit(READ_FRAMES))).alias("frame")
     )
-    schema = "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long"
-    spread = ship(parts).repartition("file", "frame")
-    return spread.mapInArrow(read, schema)
+    # A number of partitions that adaptive execution leaves alone: the rows are tiny, the work
+    # behind them is not.
+    size = manifest.agg(F.sum("tokens")).first()[0] or 0
+    return ship(parts).repartition(1 + 4 * size // READ_BYTES).mapInArrow(read, READ)
+
+
+def read_documents(manifest: DataFrame, folder: str, wanted: DataFrame) -> DataFrame:
+    """Rows as ``read_frames`` gives them, of the documents whose id is in ``wanted.doc_id``.
+
+    Only files whose range of ids holds a wanted one are opened, and of them only the table,
+    the directory and the frames of these documents are read. An id that no file holds gives
+    no row, one that several documents share all of theirs; a null id asks for null ids.
+    """
+    files = manifest.select("file", "first", "last", "start").orderBy("file").collect()  # a row per file
+    lows = np.array([-(1 << 63) if f["first"] is None else f["first"] for f in files], np.int64)
+    highs = np.array([-(1 << 63) if f["last"] is None else f["last"] for f in files], np.int64)
+    nulls = np.array([f["first"] is None for f in files], bool)
+
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number, asked = [], []
+            for doc_id in batch.column("doc_id").to_pylist():
+                if doc_id is None:
+                    own = np.flatnonzero(nulls).tolist()
+                else:
+                    own = range(np.searchsorted(highs, doc_id), np.searchsorted(lows, doc_id, "right"))
+                number += own
+                asked += [doc_id] * len(own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(number, pa.int64()), pa.array(asked, pa.int64())], names=["number", "doc_id"]
+            )
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = storage(folder)
+        for batch in batches:
+            numbers = batch.column("number").to_numpy()
+            for number in np.unique(numbers):  # sorted: the rows of a file stand together
+                ids = batch.column("doc_id").filter(pa.array(numbers == number))
+                row = files[number]
+                with system.open_input_file(f"{base}/{row['file']}") as file:
+                    reader = FrameReader(file)
+                    plain = np.isin(reader.ids, ids.drop_null().to_numpy()) & (reader.known > 0)
+                    if ids.null_count:
+                        plain |= reader.known == 0
+                    yield from read_places(reader, np.flatnonzero(plain).tolist(), row["start"])
+
+    asked = ship(wanted).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    located = cut(asked.mapInArrow(locate, "number long, doc_id long"))
+    spread = located.repartition(1 + located.count() // READ_FRAMES, "number")
+    return spread.sortWithinPartitions("number").mapInArrow(read, READ)
 
 
 def frames(documents: DataFrame, path: str, end_id: int = 2) -> DataFrame:
