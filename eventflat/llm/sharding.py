@@ -3,8 +3,9 @@
 Regions hold racks and racks hold shards. A row descends from the root: at each node every
 child draws -ln(u) / weight, u being a hash of the row's key and the child's path, and the
 least draw wins; a weight is the number of shards below. When a weight changes, only rows
-that the changed child wins or loses move. A further shard comes as a region of its own,
-so rows move into it and nowhere else.
+that the changed child wins or loses move. A further shard joins a given tree as a region of
+its own, whatever the tree is, so rows move into it and nowhere else. Such shards stay regions
+until somebody folds them into one, which is a new tree and moves rows between its shards.
 
 Defined results: a null text has one unit of size and the checksum of no bytes; a null key
 is a key like any other; rows that repeat a key share its shard and get slots of their own.
@@ -36,6 +37,11 @@ def tree(shards: int, racks: int = 2, per_rack: int = 2) -> Tree:
     return regions + [[[number]] for number in range(whole, shards)]
 
 
+def grown(held: Tree) -> Tree:
+    """The tree with one more shard, as a region of its own."""
+    return [*held, [[sum(len(rack) for region in held for rack in region)]]]
+
+
 def nested(values) -> Column:
     """Nested lists as nested arrays."""
     if isinstance(values, list):
@@ -77,7 +83,8 @@ def sharded(documents: DataFrame, shards: int = 16) -> DataFrame:
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     part = F.pmod(F.xxhash64(F.lit("part"), key), F.lit(PARTS)).cast("int")
-    placed = with_shard(documents.select("doc_id", "text"), key, tree(shards), "shard")
+    held = tree(shards)
+    placed = with_shard(documents.select("doc_id", "text"), key, held, "shard")
     placed = placed.withColumn("_part", part)
 
     counts = placed.groupBy("shard", "_part").agg(F.count(F.lit(1)).alias("n"))
@@ -99,8 +106,7 @@ def sharded(documents: DataFrame, shards: int = 16) -> DataFrame:
     numbered = rows.withColumn("_number", F.row_number().over(own) - 1)
     same = (F.col("shard") == F.col("_shard")) & (F.col("_part") == F.col("_of"))
     numbered = numbered.join(F.broadcast(before), same)
-    grown = with_shard(numbered, key, tree(shards + 1), "grown_shard")
-    return grown.select(
+    return with_shard(numbered, key, grown(held), "grown_shard").select(
         "doc_id",
         "size",
         "text_crc32",
