@@ -23,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -210,20 +210,18 @@ def language_references(documents: DataFrame, rules: Rules = Rules()) -> dict:
         F.sum(F.when(F.col("kind") == "word", F.col("n"))).alias("words"),
         F.coalesce(F.sum(F.when(rest, F.col("n"))), F.lit(0)).alias("short"),
     )
-    only = totals.count() == 1
-    large = totals.where((F.col("words") >= rules.least_reference_words) | F.lit(only))
-    # The k greatest counts of a language, by an aggregate that holds k rows for each group.
+    large = totals.where(F.col("words") >= rules.least_reference_words)
+    # The k greatest counts of a language, in two steps: of its parts, then of those. Spark
+    # keeps k rows of a group at a time for such a rank, so no group is gathered.
     pair = F.struct(F.col("n").alias("n"), F.col("item").alias("item"))
-    tops = (
-        counts.where(rest)
-        .groupBy("lang", F.pmod(F.xxhash64("item"), F.lit(64)).alias("part"))
-        .agg(F.slice(F.reverse(F.array_sort(F.collect_list(pair))), 1, rules.common).alias("top"))
-        .groupBy("lang")
-        .agg(
-            F.slice(
-                F.reverse(F.array_sort(F.flatten(F.collect_list("top")))), 1, rules.common
-            ).alias("top")
-        )
+    best = [F.col("n").desc(), F.col("item").desc()]
+    part = F.pmod(F.xxhash64("item"), F.lit(64))
+    ranked = counts.where(rest).withColumn("part", part)
+    for group in (["lang", "part"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(*best))
+        ranked = ranked.withColumn("rank", rank).where(F.col("rank") <= rules.common)
+    tops = ranked.groupBy("lang").agg(
+        F.reverse(F.array_sort(F.collect_list(pair))).alias("top")
     )
     classes = counts.where("kind = 'class'").groupBy("lang").agg(
         F.map_from_entries(F.collect_list(F.struct("item", "n"))).alias("classes")
