@@ -80,7 +80,8 @@ def test_quality(documents, nothing):
         if got["base_failed"]:
             assert got["kept"] is False
     # Against references of ordinary texts the ordinary text stays and the symbols go.
-    references = quality_divergence.language_references(documents.where("doc_id in (1, 2)"))
+    few = quality_divergence.Rules(least_reference_words=100)
+    references = quality_divergence.language_references(documents.where("doc_id in (1, 2)"), few)
     by_text = {r["text"]: r["quality"] for r in quality_divergence.judged(documents, references).collect()}
     assert by_text[BASE]["kept"] is True and by_text[BASE]["word_distance"] < 0.2
     assert by_text[ROWS[-1][1]]["class_distance"] > 0.25
@@ -111,6 +112,40 @@ def test_quality_of_a_small_language_in_another_script(spark):
         assert found[i]["kept"] == (i != 300)  # the base rules still hold
 
 
+def test_a_row_of_another_language_changes_no_verdict(spark):
+    rng = np.random.default_rng(4)
+
+    def prose(letters: str) -> str:
+        return " ".join("".join(rng.choice(list(letters), rng.integers(2, 9))) for _ in range(80))
+
+    schema = "doc_id long, text string, lang string"
+    rows = [(i, prose("abcdefghijklmnop"), "en") for i in range(4)] + [(4, prose("абвгдежзиклмно"), "en")]
+    more = [*rows, (5, prose("abcdefghijk"), "de")]
+    found = [
+        {r["doc_id"]: r["quality"] for r in quality_divergence.quality(spark.createDataFrame(data, schema)).collect()}
+        for data in (rows, more)
+    ]
+    assert all(found[0][i] == found[1][i] for i in range(5))
+
+
+def test_top_words_by_language(spark):
+    counts = {w: 5000 - i for i, w in enumerate("abcdefghijklmnopqrstuvwxyz")}
+    rows = [(lang, "word", w, n) for lang in ("en", "de") for w, n in counts.items()]
+    rows += [(lang, "class", "lower", 10) for lang in ("en", "de")] + [("en", "word", quality_divergence.LONG, 7)]
+    data = spark.createDataFrame(rows, "lang string, kind string, item string, n long")
+    rules = quality_divergence.Rules(common=5)
+    usual = quality_divergence.language_counts
+    quality_divergence.language_counts = lambda *_: data
+    try:
+        found = quality_divergence.language_references(data, rules)
+    finally:
+        quality_divergence.language_counts = usual
+    total = sum(counts.values())
+    for lang, rest in (("en", 7), ("de", 0)):
+        assert found[lang]["words"] == list("abcde")
+        assert found[lang]["counts"] == [5000, 4999, 4998, 4997, 4996, total - 24990, rest]
+
+
 def test_divergence_is_jensen_shannon():
     p, q = np.array([[3.0, 1.0, 0.0]]), np.array([1.0, 1.0, 2.0])
     a, b = p[0] / 4, q / 4
@@ -373,6 +408,9 @@ def test_sharding(spark, documents, nothing):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(slots) == 16
     assert max(map(len, slots.values())) < 1.35 * min(map(len, slots.values()))
     assert 120 < sum(r["grown_shard"] == 16 for r in rows) < 360
+    for shards in (1, 2, 3, 4, 5, 15, 19, 20, 33):
+        moved = sharding.sharded(data, shards).where("grown_shard <> shard").select("grown_shard").distinct()
+        assert {r[0] for r in moved.collect()} == {shards}
     edge = sharding.sharded(documents).collect()
     assert len(edge) == len(ROWS)
     assert {r["text_crc32"] for r in edge if r["size"] == 1} == {0}
