@@ -218,7 +218,7 @@ def items_drop_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(event_id(), F.size("items").cast("long").alias("item_count"))
 
 
-def items_recollect(spark: SparkSession, sf_dir: str) -> DataFrame:
+def items_recollect(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """Timestamps cut to the day, so that the purchases of a session's day share a row."""
     nested = load_nested_events(spark, sf_dir).withColumns(
         {
@@ -226,7 +226,7 @@ def items_recollect(spark: SparkSession, sf_dir: str) -> DataFrame:
             "batch_event_index": F.col("event_bundle_sequence_id"),
         }
     )
-    flat = flatten_events(nested, "purchase", "ecommerce")
+    flat = flatten_events(nested, "purchase", "ecommerce", **options)
     return flat.select(
         "user_pseudo_id",
         "session_id",
@@ -236,6 +236,11 @@ def items_recollect(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def items_recollect_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, each row's items gathered in parts first."""
+    return items_recollect(spark, sf_dir, item_parts=8)
+
+
 def _awkward_fields(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
     events = load_nested_events(spark, sf_dir, awkward=True)
     pivoted = pivot_params(events, keys, ["event_bundle_sequence_id"], merge=False)
@@ -301,6 +306,7 @@ QUERIES = {
     "flatten_events_ecommerce": flatten_events_ecommerce,
     "items_drop_empty": items_drop_empty,
     "items_recollect": items_recollect,
+    "items_recollect_parts": items_recollect_parts,
     "param_float_text": param_float_text,
     "pivot_first_set_value": pivot_first_set_value,
     "pivot_wide": pivot_wide,

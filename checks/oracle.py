@@ -195,6 +195,13 @@ a AS (
 )"""
 AWKWARD_SESSIONS = AWKWARD + "," + SESSIONS.replace("FROM e WHERE", "FROM a WHERE")
 
+# Items of a session's day.
+ITEMS_BY_DAY = _over_items(f"""
+        SELECT user_pseudo_id, {SESSION_ID},
+               event_timestamp // 86400000000 * 86400000000 AS event_timestamp,
+               count(*) AS item_count, string_agg(item_id, ',' ORDER BY item_id) AS item_ids
+        FROM i WHERE filled GROUP BY ALL""")
+
 ORACLE = {
     "filter_name": _over_events(NAMES + "event_name = 'purchase'"),
     "filter_list": _over_events(NAMES + "event_name IN ('purchase', 'signup')"),
@@ -240,11 +247,8 @@ ORACLE = {
     ),
     "flatten_events_ecommerce": _purchases("AND item_count > 0"),
     "items_drop_empty": _over_events("SELECT event_id, item_count FROM e WHERE item_count > 0"),
-    "items_recollect": _over_items(f"""
-        SELECT user_pseudo_id, {SESSION_ID},
-               event_timestamp // 86400000000 * 86400000000 AS event_timestamp,
-               count(*) AS item_count, string_agg(item_id, ',' ORDER BY item_id) AS item_ids
-        FROM i WHERE filled GROUP BY ALL"""),
+    "items_recollect": ITEMS_BY_DAY,
+    "items_recollect_parts": ITEMS_BY_DAY,
     "traffic_defaults": "SELECT event_id, '' AS gclid, '' AS manual_source, '' AS partner FROM events",
     "session_eligible": _over_events(
         "SELECT event_id, user_pseudo_id, ga_session_id FROM e "

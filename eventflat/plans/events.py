@@ -49,6 +49,7 @@ def flatten_events(
     assume_unique: bool = False,
     num_partitions: int | None = None,
     max_keys: int | None = None,
+    item_parts: int = 1,
 ) -> DataFrame:
     """One row per event of the kept names, parameters as fields of a struct.
 
@@ -56,6 +57,8 @@ def flatten_events(
     the key column finds them. ``assume_unique`` states that no two events agree on all
     identity columns and spares the merge and its shuffle. ``num_partitions`` spreads
     the kept events over that many tasks first, for a source with too few splits.
+    ``item_parts`` gathers the items of an e-commerce row in so many parts first, see
+    ``recollect_items``.
     """
     events = with_batch_defaults(keep_events(data, event_name, event_list, event_pattern))
     keys = discover_param_keys(events, max_keys) if param_keys is None else list(param_keys)
@@ -83,7 +86,7 @@ def flatten_events(
     flat = pivoted.selectExpr(
         *[computed.get(name, name) for name in EVENT_COLUMNS], *[quoted(name) for name in extras]
     )
-    return recollect_items(flat) if event_type == ECOMMERCE else flat
+    return recollect_items(flat, item_parts) if event_type == ECOMMERCE else flat
 
 
 def has_events_to_flatten(

@@ -1,0 +1,73 @@
+"""Items gathered in parts: the same rows, and no task with more than a part before the last."""
+
+from __future__ import annotations
+
+import pytest
+from frames import exchanges, frame, params, plan
+from pyspark.sql import functions as F
+
+from eventflat import flatten_events
+from eventflat.operators import recollect_items
+
+
+def shop(spark):
+    rows = []
+    for number in range(400):
+        hot = number % 3 != 0
+        rows.append(
+            {
+                "event_timestamp": 5 if hot else number,
+                "event_name": ["view", "buy", "add"][number % 3],
+                "user_id": f"u{number % 7}",
+                "event_params": params(("a", number), ("ga_session_id", 1 if hot else number)),
+                "items": [(f"i{number}-{place}", float(place)) for place in range(number % 4)] + [None] * (number % 2),
+            }
+        )
+    rows += [rows[1], rows[2]]
+    return frame(spark, *rows).repartition(6)
+
+
+def rows_of(data):
+    return sorted(map(repr, data.collect()))
+
+
+@pytest.mark.parametrize("parts", [2, 8, 64])
+def test_parts_change_nothing(spark, parts):
+    data, chosen = shop(spark), {"event_list": ["view", "buy", "add"], "event_type": "ecommerce"}
+    usual = flatten_events(data, **chosen)
+    assert max(len(row["items"]) for row in usual.collect()) > 300
+    assert rows_of(flatten_events(data, **chosen, item_parts=parts)) == rows_of(usual)
+    flat = flatten_events(data, chosen["event_list"][0], event_list=chosen["event_list"]).cache()
+    assert rows_of(recollect_items(flat, parts)) == rows_of(recollect_items(flat))
+    assert rows_of(recollect_items(flat.limit(0), parts)) == []
+    flat.unpersist()
+
+
+def test_parts_are_gathered_by_a_shuffle_of_their_own(spark):
+    data = shop(spark)
+    flat = flatten_events(data, "buy", "ecommerce", param_keys=["a"], item_parts=8)
+    assert exchanges(flat) == 1 + exchanges(flatten_events(data, "buy", "ecommerce", param_keys=["a"]))
+    first = [line for line in plan(flat).split("\n") if "Exchange hashpartitioning" in line][1]
+    keys = first.split("hashpartitioning(")[1].split(")")[0].split(", ")
+    assert len(keys) == 3 + 1 + 1 and keys[2].startswith("event_timestamp#")  # grain, part, number
+
+
+def test_a_triple_with_very_many_items(spark):
+    one = frame(spark, {"event_params": params(("a", 1), ("ga_session_id", 1))})
+    events = spark.range(0, 60_000, 1, 8).crossJoin(F.broadcast(one)).select(
+        *[c for c in one.columns if c not in ("items", "user_id")],
+        F.col("id").cast("string").alias("user_id"),
+        F.expr("array(named_struct('item_id', string(id), 'price', double(1)))").alias("items"),
+    )
+    name = "view"
+    flat = flatten_events(events, name, "ecommerce", param_keys=["a"], assume_unique=True)
+    usual = flat.first()
+    (row,) = flatten_events(
+        events, name, "ecommerce", param_keys=["a"], assume_unique=True, item_parts=64
+    ).collect()
+    assert len(row["items"]) == 60_000 and row == usual
+
+
+def test_parts_are_a_power_of_two(spark):
+    with pytest.raises(ValueError):
+        recollect_items(shop(spark), 3)
