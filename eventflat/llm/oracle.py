@@ -1,8 +1,8 @@
 """SQL of the operators that SQL can express, for a database that reads the same tables.
 
 The near-duplicate queries compare all sets, or all vectors of a label, there: their
-operators are held to the exact answer. The others depend on trained models, hash draws,
-iterations or files and are tested against brute force or round trips.
+operators are held to the exact answer. The others depend on trained models, Spark's own hashes, trees,
+iterations or tokenizers and are tested against plain versions, libraries or cases.
 """
 
 #: Least id that links reach, from tables ``links`` (both directions) and ``ids``.
@@ -80,6 +80,51 @@ SELECT CAST(id AS BIGINT) AS vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links,
 FROM least LEFT JOIN counted ON a = id
 """
 
+MIXING = r"""
+WITH keyed AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    -ln((CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) + 0.5::DOUBLE)
+      / 4503599627370496::DOUBLE)
+    / (0.25::DOUBLE + 0.75::DOUBLE * power(coalesce(
+        length(translate(text, '#*$%&|<>', ''))::DOUBLE / greatest(length(text), 1), 1::DOUBLE), 2)) AS key
+  FROM documents
+),
+sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM keyed GROUP BY source),
+ranked AS (
+  SELECT *, source_size * 2::DOUBLE AS cap,
+    ([5::DOUBLE, 2, 1])[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+  FROM sizes
+),
+rated AS (
+  SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER before, 0))
+    / (sum(w) OVER () - sum(w) OVER through + w) AS rate
+  FROM ranked
+  WINDOW before AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    through AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+),
+settled AS (
+  SELECT *, first_value(CASE WHEN rate * w <= cap THEN rate END IGNORE NULLS) OVER (
+    ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS final
+  FROM rated
+),
+targets AS (
+  SELECT source, source_size, CASE WHEN final IS NULL THEN cap ELSE least(cap, final * w) END AS target FROM settled
+),
+plan AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM targets
+),
+entries AS (SELECT source, key, doc_id, sum(size) AS size FROM keyed GROUP BY ALL),
+placed AS (
+  SELECT source, key, doc_id, size / 2::DOUBLE + coalesce(sum(size) OVER (
+    PARTITION BY source ORDER BY key, doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS middle
+  FROM entries
+)
+SELECT k.doc_id, k.size, p.source_size, p.target,
+  k.size * (p.epochs + CAST(m.middle <= p.target - p.epochs * p.source_size AS BIGINT)) AS taken
+FROM keyed k JOIN plan p ON k.source IS NOT DISTINCT FROM p.source
+JOIN placed m ON m.source IS NOT DISTINCT FROM k.source AND m.key = k.key AND m.doc_id IS NOT DISTINCT FROM k.doc_id
+"""
+
 #: Unsigned crc32 of the text of ``conv_id``, bit by bit.
 CRC32 = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
     string_split(CAST(conv_id AS VARCHAR), ''),
@@ -125,6 +170,7 @@ LEFT JOIN nodes y ON x.depth > 0 AND y.path = x.path[1:x.depth - 1]
 """
 
 ORACLE = {
+    "op3_source_mixing": MIXING,
     "op4_near_duplicates": NEAR_DUPLICATES,
     "op7_warc": WARC,
     "op9_embedding_near_duplicates": EMBEDDINGS,
