@@ -29,7 +29,7 @@ only expressions that set a class apart need rows, as all others have equal rati
 ``Settings.expressions`` they are broadcast, more are joined by key, with equal results.
 Every document is scored, over its whole text.
 
-Defined results: a null or empty text has no evidence, so it gets the curve's value at zero.
+Defined results: a null or empty text has the evidence of a word that nobody knows.
 A doc_id with several labels counts as toxic if one says so; labels other than 0 and 1, and
 labels without document, are ignored. With labels of one class only, or none, every score is
 0. Repeated rows get equal scores; other columns pass through, but for one named like the result.
@@ -93,6 +93,11 @@ class Model:
     slope: float = 1.0
     offset: float = 0.0
 
+    @property
+    def unknown(self) -> float:
+        """Evidence of a word that nobody knows, and so of a text without words."""
+        return float(np.log(self.neutral[0] / self.neutral[1]))
+
     @classmethod
     def by_key(cls, words: DataFrame, pairs: DataFrame, neutral: np.ndarray) -> Model:
         return cls(neutral, frames=(words, pairs))
@@ -456,9 +461,9 @@ def found(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 def evidence(texts: list[bytes], model: Model) -> np.ndarray:
-    """Toxic minus ordinary log-likelihood per word of each text; 0 for texts without words."""
+    """Toxic minus ordinary log-likelihood per word of each text; see ``Model.unknown``."""
     codes, hashes, counts = hashed_words(texts)
-    total = np.zeros(len(texts))
+    total = np.where(counts > 0, 0.0, model.unknown)
     if not len(codes):
         return total
     at = found(model.words, hashes)
@@ -524,7 +529,7 @@ def keyed_evidence(rows: DataFrame, model: Model) -> DataFrame:
         (F.sum(F.col("times") * F.log(likely[0] / likely[1])) / F.sum("times")).alias("_toxicity_evidence")
     )
     joined = rows.join(per_text, "_toxicity_key", "left").drop("_toxicity_key")
-    return joined.withColumn("_toxicity_evidence", F.coalesce("_toxicity_evidence", F.lit(0.0)))
+    return joined.withColumn("_toxicity_evidence", F.coalesce("_toxicity_evidence", F.lit(model.unknown)))
 
 
 def curve(model: Model) -> Column:
