@@ -4,7 +4,9 @@ Words count by their first STEM letters, so that forms of one rare stem add up.
 of toxic and of ordinary texts, give each word a probability after the word before it:
 discounted counts of word pairs (documents that hold the pair), then of the class's
 continuation counts (number of distinct words before a word), then the continuation counts of
-all documents, labelled or not, then an even share. The discount is the usual constant and
+all documents, labelled or not, then an even share. Distinct words are those of a document,
+added up over documents: distinct ones of a whole class or corpus would take a row of every
+pair there, which went through a shuffle of 1.7 times the input on 0.5 GB, and growing. The discount is the usual constant and
 what the other class and chance explain: a count c against c' in the other class, which has
 1 / ratio times as many documents, keeps
 c - margin * ratio * c' - deviations * sqrt(max(ratio, 1) * (c + c')) - 0.75, or nothing. It
@@ -19,11 +21,9 @@ evidence is the difference of log-likelihoods per word; a logistic curve, fitted
 that the counts have not seen, makes it a score.
 
 Counts are exact and of all labelled rows that may be learned from, contexts of all texts.
-A first pass over the labelled texts counts words, and the pairs of toxic ones. Pairs that
-the discount leaves nothing of, whatever the ordinary texts hold, are known then; a second
-pass counts the others there. A pass over all texts gathers the contexts of words that have
-a weight of their own or end a pair that has: no pass sends all pairs of a text on. Numbers of all distinct pairs and words, which only scale the models, come
-from a sketch (HyperLogLog of 2 ** 14 places, standard error 0.8 %). Only the curve is
+One pass over all texts counts words, and the pairs of toxic ones: as many rows as words.
+Pairs that the discount leaves nothing of, whatever the ordinary texts hold, are known then;
+a second pass, over labelled texts, counts the others. No pass sends all pairs of a text on. Only the curve is
 fitted on a bounded sample (``Settings.calibration`` documents, chosen by hash). Of the model
 only expressions that set a class apart need rows, as all others have equal ratios: up to
 ``Settings.expressions`` they are broadcast, more are joined by key, with equal results.
@@ -56,8 +56,6 @@ EDGE = ".,;:!?'\"()-*#$%&|<>"
 DISCOUNT = 0.75
 #: Letters of a word that count.
 STEM = 5
-#: Places of a sketch of distinct values, as a power of two.
-PLACES = 14
 CLASSES = ("toxic", "ordinary")
 #: Labelled ids that are broadcast; more are joined by a shuffle.
 LABELS = 1_000_000
@@ -89,7 +87,6 @@ class Model:
     pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     pair_p: np.ndarray = field(default_factory=lambda: np.ones((0, 2)))
     frames: tuple[DataFrame, DataFrame] | None = None
-    distinct: dict | None = None
     slope: float = 1.0
     offset: float = 0.0
 
@@ -202,17 +199,23 @@ class Pairs:
         return np.bincount(values[taken], minlength=len(self.hashes)).astype(np.int64)
 
 
-def counts_rows(hashes: np.ndarray, before, word, columns: dict, lone: bool) -> pa.RecordBatch:
-    signed = hashes.view(np.int64)
-    first = pa.nulls(len(word), pa.int64()) if lone else pa.array(signed[before])
-    return pa.RecordBatch.from_pydict({"before": first, "word": signed[word], **columns})
+#: Per word: documents of a class, and pairs of documents that start or end with the word.
+COUNTS = ["toxic", "ordinary", "toxic_seen", "ordinary_seen", "toxic_before", "ordinary_before", "shared_before"]
+
+
+def counts_rows(hashes: np.ndarray, before, word, columns: dict) -> pa.RecordBatch:
+    """Rows of pairs, or of words where ``before`` is None; counts not given are 0."""
+    signed, none = hashes.view(np.int64), np.zeros(len(word), np.int64)
+    first = pa.nulls(len(word), pa.int64()) if before is None else pa.array(signed[before])
+    named = {name: columns.get(name, none) for name in COUNTS}
+    return pa.RecordBatch.from_pydict({"before": first, "word": signed[word], **named})
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """Columns before, word, toxic, ordinary, toxic_seen, ordinary_seen, from labelled rows.
+    """Columns before, word and ``COUNTS`` over texts, labelled (``toxic`` 0 or 1) or not.
 
-    Rows whose ``before`` is null count the documents with a word, and the pairs of documents
-    that start with it; the others count the toxic documents with a pair.
+    Rows whose ``before`` is null are of words; the others count the toxic documents with a
+    pair.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,98 +224,43 @@ def word_counts(rows: DataFrame) -> DataFrame:
             if not len(own.hashes):
                 continue
             every = np.arange(len(own.hashes))
-            found = {
-                c: np.bincount(own.single[own.single_mark == mark], minlength=len(every)).astype(np.int64)
-                for c, mark in zip(CLASSES, (1, 0))
-            }
-            seen = {f"{c}_seen": own.of_class(mark, own.before) for c, mark in zip(CLASSES, (1, 0))}
-            yield counts_rows(own.hashes, None, every, found | seen, True)
+            found = {"shared_before": np.bincount(own.word[own.pair], minlength=len(every)).astype(np.int64)}
+            for c, mark in zip(CLASSES, (1, 0)):
+                held = own.single[own.single_mark == mark]
+                found[c] = np.bincount(held, minlength=len(every)).astype(np.int64)
+                found[f"{c}_seen"] = own.of_class(mark, own.before)
+                found[f"{c}_before"] = own.of_class(mark, own.word)
+            yield counts_rows(own.hashes, None, every, found)
             toxic = own.of_class(1)
             held = np.flatnonzero(toxic)
-            none = np.zeros(len(held), np.int64)
-            columns = {"toxic": toxic[held], "ordinary": none, "toxic_seen": none, "ordinary_seen": none}
-            yield counts_rows(own.hashes, own.before[held], own.word[held], columns, False)
+            yield counts_rows(own.hashes, own.before[held], own.word[held], {"toxic": toxic[held]})
 
-    names = ["toxic", "ordinary", "toxic_seen", "ordinary_seen"]
-    kinds = ", ".join(f"{name} long" for name in names)
+    kinds = ", ".join(f"{name} long" for name in COUNTS)
     counted = ship(rows).select("text", "toxic").mapInArrow(count, f"before long, word long, {kinds}")
-    return counted.groupBy("before", "word").agg(*[F.sum(name).alias(name) for name in names])
-
-
-def sketched(hashes: np.ndarray, places: np.ndarray) -> None:
-    """Add distinct values to a HyperLogLog sketch."""
-    spread = mixed(hashes)
-    at = (spread >> np.uint64(64 - PLACES)).astype(np.int64)
-    rest = (spread << np.uint64(PLACES)) | np.uint64(1 << (PLACES - 1))
-    # The exponent of a double of the upper half tells the place of the first bit.
-    zeros = 65 - np.frexp((rest >> np.uint64(11)).astype(np.float64))[1] - 11
-    np.maximum.at(places, at, zeros.astype(np.uint8))
-
-
-def estimate(places: np.ndarray) -> float:
-    """Number of distinct values that a sketch has seen."""
-    size = len(places)
-    empty = int((places == 0).sum())
-    plain = 0.7213 / (1 + 1.079 / size) * size * size / np.sum(2.0 ** -places.astype(float))
-    return size * np.log(size / empty) if empty and plain < 2.5 * size else float(plain)
+    return counted.groupBy("before", "word").agg(*[F.sum(name).alias(name) for name in COUNTS])
 
 
-def contexts(rows: DataFrame, words: np.ndarray | None, pairs: np.ndarray | None = None) -> DataFrame:
-    """Columns before, word, toxic, ordinary, sketch over all rows.
-
-    Pairs whose word is among ``words`` (sorted hashes), or that are among ``pairs`` (sorted
-    keys), with their labelled documents; without either all pairs. A task adds rows without
-    pair: sketches of its distinct pairs (of all texts, toxic and ordinary ones) and words.
-    """
+def pair_counts(rows: DataFrame, wanted: np.ndarray | None) -> DataFrame:
+    """Columns before, word, toxic, ordinary over labelled texts: documents with each pair
+    among ``wanted`` (sorted keys), or with any."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketches = np.zeros((4, 1 << PLACES), np.uint8)
         for batch in slices(batches, "text"):
             own = Pairs(batch)
             if not len(own.hashes):
                 continue
-            keys = mixed(own.hashes[own.before] * STEP + own.hashes[own.word])
-            toxic, ordinary = own.of_class(1), own.of_class(0)
-            for sketch, part in zip(sketches, (keys, keys[toxic > 0], keys[ordinary > 0], own.hashes)):
-                sketched(part, sketch)
-            taken = np.arange(len(keys))
-            if words is not None:
-                taken = np.flatnonzero(found(words, own.hashes)[own.word] >= 0)
-            elif pairs is not None:
-                taken = np.flatnonzero(found(pairs, keys) >= 0)
-            columns = {"toxic": toxic[taken], "ordinary": ordinary[taken]}
-            columns["sketch"] = pa.nulls(len(taken), pa.binary())
-            yield counts_rows(own.hashes, own.before[taken], own.word[taken], columns, False)
-        rows = [sketch.tobytes() for sketch in sketches]
-        none = pa.nulls(4, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [none, pa.array(range(4), pa.int64()), none, none, pa.array(rows, pa.binary())],
-            ["before", "word", "toxic", "ordinary", "sketch"],
-        )
-
-    schema = "before long, word long, toxic long, ordinary long, sketch binary"
-    return ship(rows).select("text", "toxic").mapInArrow(count, schema)
-
-
-def distinct_numbers(found: DataFrame) -> dict[str, float]:
-    """Distinct pairs of all, toxic and ordinary texts, and distinct words, of the sketches.
-
-    Sketches are united in two steps of bounded groups; one of each kind reaches the driver.
-    """
-
-    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        united = np.zeros((4, 1 << PLACES), np.uint8)
-        for batch in batches:
-            for kind, sketch in zip(batch.column("word").to_pylist(), batch.column("sketch")):
-                np.maximum(united[kind], np.frombuffer(sketch.as_buffer(), np.uint8), out=united[kind])
-        kinds = pa.array(range(4), pa.int64())
-        yield pa.RecordBatch.from_arrays([kinds, pa.array([u.tobytes() for u in united])], ["word", "sketch"])
-
-    rows = found.where("sketch is not null").select("word", "sketch")
-    few = rows.repartition(16).mapInArrow(unite, "word long, sketch binary").coalesce(1)
-    rows = few.mapInArrow(unite, "word long, sketch binary").collect()
-    numbers = {row["word"]: estimate(np.frombuffer(row["sketch"], np.uint8)) for row in rows}
-    return {name: numbers.get(kind, 0.0) for kind, name in enumerate(("all", *CLASSES, "words"))}
+            taken = np.arange(len(own.before))
+            if wanted is not None:
+                keys = mixed(own.hashes[own.before] * STEP + own.hashes[own.word])
+                taken = np.flatnonzero(found(wanted, keys) >= 0)
+            columns = {c: own.of_class(mark)[taken] for c, mark in zip(CLASSES, (1, 0))}
+            rows = counts_rows(own.hashes, own.before[taken], own.word[taken], columns)
+            yield rows.select(["before", "word", *CLASSES])
+
+    counted = ship(rows).select("text", "toxic").mapInArrow(
+        count, "before long, word long, toxic long, ordinary long"
+    )
+    return counted.groupBy("before", "word").agg(*[F.sum(c).alias(c) for c in CLASSES])
 
 
 def excess(own: str, other: str, ratio: float, settings: Settings) -> Column:
@@ -333,17 +281,10 @@ def could_stand(own: str, ratio: float, settings: Settings) -> Column:
     return own - settings.deviations * F.sqrt(max(ratio, 1.0) * own) - DISCOUNT > 0
 
 
-def sorted_keys(data: DataFrame) -> np.ndarray:
-    """Words, or pairs, of a frame of bounded size as sorted keys."""
-    found = [column.to_numpy(np.int64).view(np.uint64) for _, column in data.toPandas().items()]
-    return np.sort(found[0] if len(found) == 1 else mixed(found[0] * STEP + found[1]))
-
-
-def summed(pairs: DataFrame) -> DataFrame:
-    """Documents of each class by pair."""
-    return pairs.where("sketch is null").groupBy("before", "word").agg(
-        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")
-    )
+def sorted_keys(pairs: DataFrame) -> np.ndarray:
+    """Pairs of a frame of bounded size as sorted keys."""
+    before, word = (column.to_numpy(np.int64).view(np.uint64) for _, column in pairs.toPandas().items())
+    return np.sort(mixed(before * STEP + word))
 
 
 def fitted(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:
@@ -361,55 +302,43 @@ def fitted(documents: DataFrame, labels: DataFrame, settings: Settings = Setting
     ratio = sizes[1] / sizes[0]
     left = {"toxic_left": excess("toxic", "ordinary", ratio, settings),
             "ordinary_left": excess("ordinary", "toxic", 1 / ratio, settings)}
-    first = stored(word_counts(learned), "toxicity-counts")
-    words = first.where("before is null").drop("before").withColumns(left)
-    part = {c: F.when(F.col(c) > 0, F.col(f"{c}_left") / F.col(c)).otherwise(0.0) for c in CLASSES}
-    words = words.select("word", *[part[c].alias(f"{c}_part") for c in CLASSES], *[f"{c}_seen" for c in CLASSES])
-    # Pairs that toxic texts hold often enough to have a weight, and their documents.
-    hopeful = first.where(F.col("before").isNotNull() & could_stand("toxic", ratio, settings))
-    hopeful = stored(hopeful.select("before", "word"), "toxicity-hopeful")
-    if hopeful.count() <= settings.keys:
-        pairs = summed(contexts(learned, None, sorted_keys(hopeful)))
-    else:
-        pairs = summed(contexts(learned, None)).join(hopeful, ["before", "word"], "left_semi")
-    apart = pairs.withColumns(left).where("toxic_left + ordinary_left > 0")
-    apart = cut(apart.select("before", "word", "toxic_left", "ordinary_left"))
-    # Words that a class sets apart, or that end such a pair: their contexts are counted.
-    wanted = words.where("toxic_part > 0 or ordinary_part > 0").select("word")
-    wanted = stored(wanted.union(apart.select("word")).distinct(), "toxicity-wanted")
     marked = texts.join(counted, "doc_id", "left")
-    if wanted.count() <= settings.keys:
-        seen = stored(contexts(marked, sorted_keys(wanted)), "toxicity-contexts")
-        numbers, pairs = distinct_numbers(seen), summed(seen)
-    else:
-        numbers = distinct_numbers(contexts(marked, np.zeros(0, np.uint64)))
-        pairs = summed(contexts(marked, None)).join(wanted, "word", "left_semi")
-    if not numbers["toxic"] or not numbers["ordinary"]:
-        return None
+    first = stored(word_counts(marked), "toxicity-counts")
 
     # Continuation counts, and what the discount leaves of them: the same share as of documents,
-    # and no more than chance leaves of the contexts themselves, as copies repeat contexts.
-    behind = pairs.groupBy("word").agg(
-        *[F.count_if(F.col(c) > 0).alias(f"{c}_before") for c in CLASSES],
-        F.count(F.lit(1)).alias("shared_before"),
-    )
+    # and no more than chance leaves of the contexts themselves.
+    words = first.where("before is null and shared_before > 0").drop("before").withColumns(left)
+    part = {c: F.when(F.col(c) > 0, F.col(f"{c}_left") / F.col(c)).otherwise(0.0) for c in CLASSES}
 
     def sure(contexts: str) -> Column:
         found = F.col(contexts)
         return F.greatest(found - settings.deviations * F.sqrt(found) - DISCOUNT, F.lit(0.0))
 
-    behind = behind.join(words, "word", "left").na.fill(0.0, [f"{c}_part" for c in CLASSES])
-    claimed = F.col("shared_before") * F.greatest(*[F.col(f"{c}_part") for c in CLASSES])
-    behind = cut(behind.select(
-        "word",
-        *[F.least(F.col(f"{c}_part") * F.col(f"{c}_before"), sure(f"{c}_before")).alias(f"{c}_mass") for c in CLASSES],
-        claimed.alias("claimed"),
+    words = words.select(
+        "word", "toxic_before", "ordinary_before", "toxic_seen", "ordinary_seen",
+        *[F.least(part[c] * F.col(f"{c}_before"), sure(f"{c}_before")).alias(f"{c}_mass") for c in CLASSES],
         # What neither class claims of the contexts in all documents.
-        (F.col("shared_before") - claimed).alias("shared"),
-    ))
-    totals = behind.agg(*[F.sum(c).alias(c) for c in ("toxic_mass", "ordinary_mass", "claimed")]).first()
-    neutral = np.array([1 - (totals[f"{c}_mass"] or 0.0) / numbers[c] for c in CLASSES])
-    whole = numbers["all"] - (totals["claimed"] or 0.0) + DISCOUNT * (numbers["words"] + 1)
+        (F.col("shared_before") * (1 - F.greatest(*part.values()))).alias("shared"),
+    )
+    words = stored(words, "toxicity-words")
+    totals = words.agg(
+        *[F.sum(f"{c}_{k}").alias(f"{c}_{k}") for c in CLASSES for k in ("before", "mass")],
+        F.sum("shared").alias("s"), F.count(F.lit(1)).alias("v"),
+    ).first()
+    if not totals["toxic_before"] or not totals["ordinary_before"]:
+        return None
+    neutral = np.array([1 - totals[f"{c}_mass"] / totals[f"{c}_before"] for c in CLASSES])
+    whole = totals["s"] + DISCOUNT * (totals["v"] + 1)
+
+    # Pairs that toxic texts hold often enough to have a weight, and their documents.
+    hopeful = first.where(F.col("before").isNotNull() & could_stand("toxic", ratio, settings))
+    hopeful = stored(hopeful.select("before", "word"), "toxicity-hopeful")
+    if hopeful.count() <= settings.keys:
+        pairs = pair_counts(learned, sorted_keys(hopeful))
+    else:
+        pairs = pair_counts(learned, None).join(hopeful, ["before", "word"], "left_semi")
+    apart = pairs.withColumns(left).where("toxic_left + ordinary_left > 0")
+    apart = cut(apart.select("before", "word", "toxic_left", "ordinary_left"))
 
     # Pairs that set a class apart have rows; the others rest on the words.
     seen = words.select(F.col("word").alias("before"), *[f"{c}_seen" for c in CLASSES])
@@ -428,13 +357,13 @@ def fitted(documents: DataFrame, labels: DataFrame, settings: Settings = Setting
     shared = (F.col("shared") + DISCOUNT) / float(whole)
     ends = kept_pairs.select("word").distinct().withColumn("end", F.lit(True))
     kept_words = (
-        behind.join(ends, "word", "left").join(backoff, "word", "full")
+        words.join(ends, "word", "left").join(backoff, "word", "full")
         .where("end or toxic_mass > 0 or ordinary_mass > 0 or toxic_backoff is not null")
         .select(
             "word",
             *[
                 F.coalesce(
-                    F.col(f"{c}_mass") / float(numbers[c]) + float(weight) * shared,
+                    F.col(f"{c}_mass") / float(totals[f"{c}_before"]) + float(weight) * shared,
                     F.lit(float(weight)),
                 ).alias(f"{c}_p")
                 for c, weight in zip(CLASSES, neutral)
@@ -447,7 +376,6 @@ def fitted(documents: DataFrame, labels: DataFrame, settings: Settings = Setting
         model = Model.by_key(kept_words, kept_pairs, neutral)
     else:
         model = Model.on_driver(kept_words, kept_pairs, neutral)
-    model.distinct = numbers
     calibrate(model, curve_sample(marks, documents, settings))
     return model
 
