@@ -53,8 +53,9 @@ READ_FRAMES, READ_BYTES = 2_000, 32_000_000
 class Encoder:
     """The tokenizers library behind a cache of the pieces that its own pattern gives.
 
-    A text is normalised and split as the file says, and special tokens are set apart. The
-    distinct pieces that are not known yet go through the library as one text, a space
+    No match of the pattern crosses white space. Each distinct chunk between ASCII white space
+    is normalised and split as the file says, and special tokens are set apart. The distinct
+    pieces that are not known yet go through the library as one text, a space
     between them: each gives ids of which the last one, and no other, ends a word. Where
     the numbers do not agree, pieces go one by one.
     """
@@ -74,8 +75,9 @@ class Encoder:
         self.special = {text: struct.pack("<I", id) for text, id in special.items()}
         self.marks = regex.compile("(" + "|".join(map(regex.escape, special)) + ")")
         self.pattern = regex.compile(content["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        #: Two generations each, of pieces and of chunks between white space.
+        self.known: list[dict[str, bytes]] = [{}, {}]
+        self.chunks: list[dict[bytes, bytes]] = [{}, {}]
 
     def pieces(self, text: str) -> list[str]:
         plain = unicodedata.normalize("NFC", text)
@@ -90,35 +92,51 @@ class Encoder:
             packed = found.tobytes()
             bounds = [0, *(4 * stops).tolist()]
             for piece, start, stop in zip(pieces, bounds, bounds[1:]):
-                self.known[piece] = packed[start:stop]
+                self.known[0][piece] = packed[start:stop]
             return
         for piece, one in zip(pieces, self.library.encode_batch_fast(pieces, add_special_tokens=False)):
-            self.known[piece] = np.array(one.ids, dtype="<u4").tobytes()
+            self.known[0][piece] = np.array(one.ids, dtype="<u4").tobytes()
+
+    def parts(self, chunk: bytes) -> list[str]:
+        """Pieces and special tokens of a chunk without ASCII white space, in order."""
+        plain = chunk.decode("utf-8", "replace")
+        if "<|" not in plain:
+            return self.pieces(plain)
+        split = self.marks.split(plain)
+        return [x for part in split for x in ([part] if part in self.special else self.pieces(part))]
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = []
-        for text in texts:
-            plain = text.decode("utf-8", "replace")
-            if "<|" in plain:
-                parts = self.marks.split(plain)
-                split.append([x for p in parts for x in ([p] if p in self.special else self.pieces(p))])
+        split = [text.split() for text in texts]
+        new = renewed(self.chunks, {chunk for chunks in split for chunk in chunks})
+        if new:
+            parts = [self.parts(chunk) for chunk in new]
+            missing = renewed(self.known, {piece for pieces in parts for piece in pieces})
+            self.known[0].update({p: self.special[p] for p in missing if p in self.special})
+            missing = [piece for piece in missing if piece not in self.special]
+            for start in range(0, len(missing), TOGETHER):
+                self.learn(missing[start : start + TOGETHER])
+            known = self.known[0]
+            for chunk, pieces in zip(new, parts):
+                self.chunks[0][chunk] = b"".join([known[piece] for piece in pieces])
+        held = self.chunks[0]
+        for chunks in split:
+            yield b"".join([held[chunk] for chunk in chunks])
+
+
+def renewed(cache: list[dict], wanted: set) -> list:
+    """The wanted keys that a cache of two generations lacks; the others are in the first."""
+    if len(cache[0]) > CACHE:
+        cache[:] = [{}, cache[0]]
+    first, older = cache
+    missing = []
+    for key in wanted:
+        if key not in first:
+            found = older.get(key)
+            if found is None:
+                missing.append(key)
             else:
-                split.append(self.pieces(plain))
-        wanted = {piece for pieces in split for piece in pieces}
-        if len(self.known) > CACHE:
-            self.known, self.older = {}, self.known
-        missing = []
-        for piece in wanted:
-            if piece not in self.known:
-                ids = self.special.get(piece) or self.older.get(piece)
-                if ids is None:
-                    missing.append(piece)
-                else:
-                    self.known[piece] = ids
-        for start in range(0, len(missing), TOGETHER):
-            self.learn(missing[start : start + TOGETHER])
-        for pieces in split:
-            yield b"".join(map(self.known.__getitem__, pieces))
+                first[key] = found
+    return missing
 
 
 @lru_cache(maxsize=2)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 import struct
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from eventflat.llm import queries, sharding
+from eventflat.llm import quality_divergence, queries, sharding, url_graph
 
 
 def spark_hash(*values):
@@ -141,3 +142,137 @@ def test_pipeline_of_nothing(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
+
+
+def plain_standing(pages):
+    """Verdict by host, from links between hosts walked until nothing changes."""
+    votes, links = Counter(), Counter()
+    hosts = set()
+    for host, verdict, targets in pages:
+        hosts.add(host)
+        votes[host] += {"allow": 1, "block": -1, None: 0}[verdict]
+        links.update({(host, target): 1 for target in set(targets) if target != host})
+    hosts |= {end for link in links for end in link}
+    found = {}
+    for kind, sign in (("trust", 1), ("distrust", -1)):
+        ways = links if kind == "trust" else Counter({(b, a): n for (a, b), n in links.items()})
+        seeds = {host for host in hosts if votes[host] * sign > 0}
+        seed = {host: (host in seeds) / max(len(seeds), 1) for host in hosts}
+        out = Counter()
+        for (a, _), n in ways.items():
+            out[a] += n
+        score = dict(seed)
+        for _ in range(600):
+            kept = sum(score[host] for host in hosts if out[host])
+            new = {host: seed[host] * (1 - 0.85 * kept) for host in hosts}
+            for (a, b), n in ways.items():
+                new[b] += 0.85 * n / out[a] * score[a]
+            score = new
+        found[kind] = score
+    bar = 0.1 / len(hosts)
+    margin = min(
+        min(abs(found["distrust"][h] - bar) for h in hosts),
+        min(abs(found["distrust"][h] - 2 * found["trust"][h]) for h in hosts if found["distrust"][h] >= bar),
+    )
+    blocked = {h for h in hosts if found["distrust"][h] >= bar and found["distrust"][h] > 2 * found["trust"][h]}
+    return blocked, margin / bar
+
+
+def test_graph_verdicts_match_a_plain_walk(spark):
+    draw = random.Random(8)
+    names = [f"t{i}.org" for i in range(6)] + [f"b{i}.com" for i in range(6)] + [f"n{i}.net" for i in range(30)]
+    pages, rows = [], []
+    for number in range(160):
+        host = draw.choice(names)
+        path = "/de/x" if host.endswith(".com") and draw.random() < 0.8 else "/other"
+        verdict = "allow" if host.endswith(".org") else "block" if path == "/de/x" and host.endswith(".com") else None
+        targets = [draw.choice(names) for _ in range(draw.randint(0, 4))]
+        html = " ".join(f'<a href="http://{target}/p">x</a>' for target in targets)
+        pages.append((host, verdict, targets))
+        rows.append((number, f"http://{host.upper() if number % 5 == 0 else host}{path}?q#f", html))
+    blocked, margin = plain_standing(pages)
+    assert margin > 1e-3 and 3 < len(blocked) < 40  # far from the bars, and a case of both kinds
+    found = {r["page_id"]: r for r in url_graph.judged(
+        spark.createDataFrame(rows, "page_id long, url string, html string")
+    ).collect()}
+    for (number, _, _), (host, verdict, _) in zip(rows, pages, strict=True):
+        want = verdict or ("block" if host in blocked else "allow")
+        assert (found[number]["host"], found[number]["verdict"]) == (host, want)
+    assert {found[n]["verdict"] for n, (host, _, _) in enumerate(pages) if host.endswith(".net")} == {"allow", "block"}
+
+
+def plain_distance(counts, reference):
+    """Jensen-Shannon distance of two tallies."""
+    a, b = sum(counts.values()) or 1, sum(reference.values()) or 1
+    total = 0.0
+    for key in {*counts, *reference}:
+        p, q = counts.get(key, 0) / a, reference.get(key, 0) / b
+        for x in (p, q):
+            total += x * math.log2(2 * x / (p + q)) / 2 if x else 0
+    return math.sqrt(max(total, 0))
+
+
+def test_quality_verdicts_match_a_plain_version(spark):
+    draw = random.Random(9)
+    rules = quality_divergence.Rules(common=12, least_reference_words=800)
+    words = {
+        "en": ["the", "of", "and", "house", "in", "is", "longerwords", "Read", "a", "it", "42", "to", "be", "we", "so"],
+        "de": ["der", "die", "und", "Haus", "im", "ist", "größere", "Wörter", "ein", "es", "7", "zu", "wir", "so"],
+        "xx": ["ka", "ki", "ko"],
+    }
+    rows = []
+    for i in range(150):
+        lang = draw.choice(["en", "en", "de", "xx"]) if i % 17 else "xx"
+        kind = draw.random()
+        pool = words[lang]
+        if kind < 0.1:
+            pool = ["###", "$$", "%%%%", "word"]
+        elif kind < 0.2:
+            pool = words["de" if lang == "en" else "en"]
+        text = " ".join(draw.choice(pool) + draw.choice(["", "", ",", "."]) for _ in range(draw.randint(10, 120)))
+        rows.append((i, text, {"en": "en-GB", "de": "DE", "xx": "xx"}[lang], lang))
+
+    classes = quality_divergence.class_table()
+
+    def tallies(text):
+        kinds = Counter(quality_divergence.CLASSES[classes[ord(c)]] for c in text)
+        short = Counter()
+        for word in re.findall(r"[^\x20\x09-\x0D]+", text):
+            plain = word.strip(".,;:!?'\"()-").lower()
+            short[plain if 0 < len(plain) <= rules.short and plain.isalpha() else None] += 1
+        return kinds, short
+
+    sums = defaultdict(lambda: (Counter(), Counter()))
+    for _, text, _, lang in rows:
+        for whole, own in zip(sums[lang], tallies(text), strict=True):
+            whole.update(own)
+
+    def binned(short, common):
+        found = Counter()
+        for word, n in short.items():
+            found["long" if word is None else word if word in common else "rest"] += n
+        return found
+
+    found = {r["doc_id"]: r["quality"] for r in quality_divergence.quality(
+        spark.createDataFrame([row[:3] for row in rows], "doc_id long, text string, lang string"), rules
+    ).collect()}
+    verdicts = Counter()
+    for i, text, _, lang in rows:
+        kinds, short = sums[lang]
+        got, n = found[i], len(text.split())
+        distances = [None, None]
+        if sum(short.values()) >= rules.least_reference_words:
+            own_kinds, own_short = tallies(text)
+            best = sorted(((k, w) for w, k in short.items() if w is not None), reverse=True)[: rules.common]
+            common = {word for _, word in best}
+            if len(text) >= rules.least_chars:
+                distances[0] = plain_distance(own_kinds, kinds)
+            if n >= rules.least_words:
+                distances[1] = plain_distance(binned(own_short, common), binned(short, common))
+        for name, want in zip(("class_distance", "word_distance"), distances, strict=True):
+            assert (got[name] is None) == (want is None)
+            assert want is None or abs(got[name] - want) < 1e-9
+        odd = (distances[0] or 0) > rules.most_class_distance or (distances[1] or 0) > rules.most_word_distance
+        assert got["kept"] == (not got["base_failed"] and not odd)
+        verdicts[got["kept"], odd, lang == "xx"] += 1
+    assert verdicts[True, False, False] > 20 and verdicts[False, True, False] > 5

@@ -38,7 +38,7 @@ def test_cache_of_two_generations(library, monkeypatch):
     for text in ["one two three", "four five six seven", "one eight nine", "two ten", "one two"] * 3:
         (ids,) = own.ids([text.encode()])
         assert len(ids) // 4 == len(library.encode(text, add_special_tokens=False).ids)
-    assert len(own.known) <= 5 + 7
+    assert len(own.known[0]) <= 5 + 7 and len(own.chunks[0]) <= 5 + 7
 
 
 def test_wanted_documents_only(spark, tmp_path, monkeypatch):
