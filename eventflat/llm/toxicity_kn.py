@@ -240,26 +240,32 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return counted.groupBy("before", "word").agg(*[F.sum(name).alias(name) for name in COUNTS])
 
 
-def pair_counts(rows: DataFrame, wanted: np.ndarray | None) -> DataFrame:
+def pair_counts(rows: DataFrame, wanted: tuple[np.ndarray, np.ndarray, np.ndarray] | None) -> DataFrame:
     """Columns before, word, toxic, ordinary over labelled texts: documents with each pair
-    among ``wanted`` (sorted keys), or with any."""
+    among ``wanted`` (sorted keys and their words), which a task adds up, or with any."""
+    schema = "before long, word long, toxic long, ordinary long"
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, before, word = wanted
+        sums = np.zeros((2, len(keys)), np.int64)
         for batch in slices(batches, "text"):
             own = Pairs(batch)
-            if not len(own.hashes):
-                continue
-            taken = np.arange(len(own.before))
-            if wanted is not None:
-                keys = mixed(own.hashes[own.before] * STEP + own.hashes[own.word])
-                taken = np.flatnonzero(found(wanted, keys) >= 0)
-            columns = {c: own.of_class(mark)[taken] for c, mark in zip(CLASSES, (1, 0))}
-            rows = counts_rows(own.hashes, own.before[taken], own.word[taken], columns)
-            yield rows.select(["before", "word", *CLASSES])
-
-    counted = ship(rows).select("text", "toxic").mapInArrow(
-        count, "before long, word long, toxic long, ordinary long"
-    )
+            at = found(keys, mixed(own.hashes[own.before] * STEP + own.hashes[own.word]))
+            held = np.flatnonzero(at >= 0)
+            for row, mark in zip(sums, (1, 0)):
+                row[at[held]] += own.of_class(mark)[held]
+        seen = np.flatnonzero(sums.any(axis=0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(values[seen]) for values in (before, word, *sums)], ["before", "word", *CLASSES]
+        )
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            own = Pairs(batch)
+            columns = {c: own.of_class(mark) for c, mark in zip(CLASSES, (1, 0))}
+            yield counts_rows(own.hashes, own.before, own.word, columns).select(["before", "word", *CLASSES])
+
+    counted = ship(rows).select("text", "toxic").mapInArrow(every if wanted is None else add_up, schema)
     return counted.groupBy("before", "word").agg(*[F.sum(c).alias(c) for c in CLASSES])
 
 
@@ -281,10 +287,12 @@ def could_stand(own: str, ratio: float, settings: Settings) -> Column:
     return own - settings.deviations * F.sqrt(max(ratio, 1.0) * own) - DISCOUNT > 0
 
 
-def sorted_keys(pairs: DataFrame) -> np.ndarray:
-    """Pairs of a frame of bounded size as sorted keys."""
-    before, word = (column.to_numpy(np.int64).view(np.uint64) for _, column in pairs.toPandas().items())
-    return np.sort(mixed(before * STEP + word))
+def sorted_keys(pairs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a frame of bounded size: sorted keys, and the words of each."""
+    before, word = (column.to_numpy(np.int64) for _, column in pairs.toPandas().items())
+    keys = mixed(before.view(np.uint64) * STEP + word.view(np.uint64))
+    order = np.argsort(keys)
+    return keys[order], before[order], word[order]
 
 
 def fitted(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:
