@@ -35,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bpe import byte_letters
 from .common import cut, new_folder, ship, slices, storage, texts_of
 
 # Fixed values of the seekable format.
@@ -44,8 +45,6 @@ ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("checksum", "<u4")])
 
 #: Pieces of a generation of a worker's cache, some 150 bytes each; two are kept.
 CACHE = 300_000
-#: Pieces that go through the library at a time.
-TOGETHER = 2_000
 #: Documents that one reading task fetches at a time, and bytes of ids that it reads.
 READ_FRAMES, READ_BYTES = 2_000, 32_000_000
 
@@ -54,10 +53,8 @@ class Encoder:
     """The tokenizers library behind a cache of the pieces that its own pattern gives.
 
     No match of the pattern crosses white space. Each distinct chunk between ASCII white space
-    is normalised and split as the file says, and special tokens are set apart. The distinct
-    pieces that are not known yet go through the library as one text, a space
-    between them: each gives ids of which the last one, and no other, ends a word. Where
-    the numbers do not agree, pieces go one by one.
+    is normalised and split as the file says, and special tokens are set apart. Each distinct
+    piece goes through the library's model once.
     """
 
     def __init__(self, path: str):
@@ -67,11 +64,10 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         self.library = Tokenizer.from_file(path)
-        suffix = content["model"]["end_of_word_suffix"]
-        vocab = content["model"]["vocab"]
         special = {token["content"]: token["id"] for token in content["added_tokens"]}
-        self.ends = np.zeros(max([*vocab.values(), *special.values()]) + 1, dtype=bool)
-        self.ends[[id for token, id in vocab.items() if token.endswith(suffix)]] = True
+        ids = [*content["model"]["vocab"].values(), *special.values()]
+        self.four = [struct.pack("<I", id) for id in range(max(ids) + 1)]
+        self.letters = dict(enumerate(byte_letters()))
         self.special = {text: struct.pack("<I", id) for text, id in special.items()}
         self.marks = regex.compile("(" + "|".join(map(regex.escape, special)) + ")")
         self.pattern = regex.compile(content["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
@@ -86,16 +82,11 @@ class Encoder:
         return self.pattern.findall(plain)
 
     def learn(self, pieces: list[str]) -> None:
-        found = np.array(self.library.encode(" ".join(pieces), add_special_tokens=False).ids, dtype="<u4")
-        stops = np.flatnonzero(self.ends[found]) + 1
-        if len(stops) == len(pieces) and (not len(found) or stops[-1] == len(found)):
-            packed = found.tobytes()
-            bounds = [0, *(4 * stops).tolist()]
-            for piece, start, stop in zip(pieces, bounds, bounds[1:]):
-                self.known[0][piece] = packed[start:stop]
-            return
-        for piece, one in zip(pieces, self.library.encode_batch_fast(pieces, add_special_tokens=False)):
-            self.known[0][piece] = np.array(one.ids, dtype="<u4").tobytes()
+        """Ids of pieces, written in byte letters as the file's pre-tokenizer does."""
+        known, four, tokenize = self.known[0], self.four, self.library.model.tokenize
+        for piece in pieces:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+            known[piece] = b"".join([four[token.id] for token in tokenize(letters)])
 
     def parts(self, chunk: bytes) -> list[str]:
         """Pieces and special tokens of a chunk without ASCII white space, in order."""
@@ -113,8 +104,7 @@ class Encoder:
             missing = renewed(self.known, {piece for pieces in parts for piece in pieces})
             self.known[0].update({p: self.special[p] for p in missing if p in self.special})
             missing = [piece for piece in missing if piece not in self.special]
-            for start in range(0, len(missing), TOGETHER):
-                self.learn(missing[start : start + TOGETHER])
+            self.learn(missing)
             known = self.known[0]
             for chunk, pieces in zip(new, parts):
                 self.chunks[0][chunk] = b"".join([known[piece] for piece in pieces])
