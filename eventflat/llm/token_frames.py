@@ -17,6 +17,7 @@ empty table gives no file and no row. Extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import struct
@@ -97,6 +98,16 @@ class Encoder:
         return [x for part in split for x in ([part] if part in self.special else self.pieces(part))]
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
+        # Nothing here refers to itself: the collector would only walk through the caches.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            yield from self.joined(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def joined(self, texts: list[bytes]) -> Iterator[bytes]:
         split = [text.split() for text in texts]
         new = renewed(self.chunks, {chunk for chunks in split for chunk in chunks})
         if new:
