@@ -15,15 +15,13 @@ share that its documents keep, but no more than chance leaves of it; what neithe
 claims of a word's contexts is its shared count. So expressions that are rare, or common in
 both classes, rest on the shared counts and are equally likely in both, and evidence comes
 from expressions that set a class apart (a constant discount alone found half of the toxic
-documents of the test data: the mix of languages in a class drowned its expressions). Pairs
-count where a toxic text holds them; others rest on their words in both models. A document's
+documents of the test data: the mix of languages in a class drowned its expressions). A document's
 evidence is the difference of log-likelihoods per word; a logistic curve, fitted on documents
 that the counts have not seen, makes it a score.
 
 Counts are exact and of all labelled rows that may be learned from, contexts of all texts.
-One pass over all texts counts words, and the pairs of toxic ones: as many rows as words.
-Pairs that the discount leaves nothing of, whatever the ordinary texts hold, are known then;
-a second pass, over labelled texts, counts the others. No pass sends all pairs of a text on. Only the curve is
+One pass over all texts counts words, one over the labelled texts pairs; a task adds up
+before it shuffles. Only the curve is
 fitted on a bounded sample (``Settings.calibration`` documents, chosen by hash). Of the model
 only expressions that set a class apart need rows, as all others have equal ratios: up to
 ``Settings.expressions`` they are broadcast, more are joined by key, with equal results.
@@ -63,12 +61,10 @@ LABELS = 1_000_000
 
 @dataclass(frozen=True)
 class Settings:
-    """Documents for the curve; expressions of a model, and keys of 8 bytes to look for, that are
-    broadcast (more are joined by key, with equal results); weights of the discount."""
+    """Documents for the curve, expressions of a model that is broadcast, weights of the discount."""
 
     calibration: int = 8_000
     expressions: int = 200_000
-    keys: int = 2_000_000
     margin: float = 3.0
     deviations: float = 1.5
 
@@ -203,20 +199,8 @@ class Pairs:
 COUNTS = ["toxic", "ordinary", "toxic_seen", "ordinary_seen", "toxic_before", "ordinary_before", "shared_before"]
 
 
-def counts_rows(hashes: np.ndarray, before, word, columns: dict) -> pa.RecordBatch:
-    """Rows of pairs, or of words where ``before`` is None; counts not given are 0."""
-    signed, none = hashes.view(np.int64), np.zeros(len(word), np.int64)
-    first = pa.nulls(len(word), pa.int64()) if before is None else pa.array(signed[before])
-    named = {name: columns.get(name, none) for name in COUNTS}
-    return pa.RecordBatch.from_pydict({"before": first, "word": signed[word], **named})
-
-
 def word_counts(rows: DataFrame) -> DataFrame:
-    """Columns before, word and ``COUNTS`` over texts, labelled (``toxic`` 0 or 1) or not.
-
-    Rows whose ``before`` is null are of words; the others count the toxic documents with a
-    pair.
-    """
+    """Columns word and ``COUNTS`` over texts, labelled (``toxic`` 0 or 1) or not."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -230,42 +214,32 @@ def word_counts(rows: DataFrame) -> DataFrame:
                 found[c] = np.bincount(held, minlength=len(every)).astype(np.int64)
                 found[f"{c}_seen"] = own.of_class(mark, own.before)
                 found[f"{c}_before"] = own.of_class(mark, own.word)
-            yield counts_rows(own.hashes, None, every, found)
-            toxic = own.of_class(1)
-            held = np.flatnonzero(toxic)
-            yield counts_rows(own.hashes, own.before[held], own.word[held], {"toxic": toxic[held]})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own.hashes.view(np.int64)), *[pa.array(found[name]) for name in COUNTS]],
+                ["word", *COUNTS],
+            )
 
     kinds = ", ".join(f"{name} long" for name in COUNTS)
-    counted = ship(rows).select("text", "toxic").mapInArrow(count, f"before long, word long, {kinds}")
-    return counted.groupBy("before", "word").agg(*[F.sum(name).alias(name) for name in COUNTS])
-
+    counted = ship(rows).select("text", "toxic").mapInArrow(count, f"word long, {kinds}")
+    return counted.groupBy("word").agg(*[F.sum(name).alias(name) for name in COUNTS])
 
-def pair_counts(rows: DataFrame, wanted: tuple[np.ndarray, np.ndarray, np.ndarray] | None) -> DataFrame:
-    """Columns before, word, toxic, ordinary over labelled texts: documents with each pair
-    among ``wanted`` (sorted keys and their words), which a task adds up, or with any."""
-    schema = "before long, word long, toxic long, ordinary long"
 
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, before, word = wanted
-        sums = np.zeros((2, len(keys)), np.int64)
-        for batch in slices(batches, "text"):
-            own = Pairs(batch)
-            at = found(keys, mixed(own.hashes[own.before] * STEP + own.hashes[own.word]))
-            held = np.flatnonzero(at >= 0)
-            for row, mark in zip(sums, (1, 0)):
-                row[at[held]] += own.of_class(mark)[held]
-        seen = np.flatnonzero(sums.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(values[seen]) for values in (before, word, *sums)], ["before", "word", *CLASSES]
-        )
+def pair_counts(rows: DataFrame) -> DataFrame:
+    """Columns before, word, toxic, ordinary over labelled texts: documents with each pair."""
 
-    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             own = Pairs(batch)
-            columns = {c: own.of_class(mark) for c, mark in zip(CLASSES, (1, 0))}
-            yield counts_rows(own.hashes, own.before, own.word, columns).select(["before", "word", *CLASSES])
+            signed = own.hashes.view(np.int64)
+            # Rows of a word stand together, so that shuffle files compress them.
+            order = np.argsort(own.word, kind="stable")
+            arrays = [signed[own.before], signed[own.word], own.of_class(1), own.of_class(0)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values[order]) for values in arrays], ["before", "word", *CLASSES]
+            )
 
-    counted = ship(rows).select("text", "toxic").mapInArrow(every if wanted is None else add_up, schema)
+    schema = "before long, word long, toxic long, ordinary long"
+    counted = ship(rows).select("text", "toxic").mapInArrow(count, schema)
     return counted.groupBy("before", "word").agg(*[F.sum(c).alias(c) for c in CLASSES])
 
 
@@ -281,20 +255,6 @@ def excess(own: str, other: str, ratio: float, settings: Settings) -> Column:
     return F.greatest(own - settings.margin * ratio * other - chance - DISCOUNT, F.lit(0.0))
 
 
-def could_stand(own: str, ratio: float, settings: Settings) -> Column:
-    """Whether the discount would leave something of a count if the other class had none."""
-    own = F.col(own)
-    return own - settings.deviations * F.sqrt(max(ratio, 1.0) * own) - DISCOUNT > 0
-
-
-def sorted_keys(pairs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of a frame of bounded size: sorted keys, and the words of each."""
-    before, word = (column.to_numpy(np.int64) for _, column in pairs.toPandas().items())
-    keys = mixed(before.view(np.uint64) * STEP + word.view(np.uint64))
-    order = np.argsort(keys)
-    return keys[order], before[order], word[order]
-
-
 def fitted(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:
     """The model; None without labels of both classes."""
     marks = cut(with_roles(labels))
@@ -311,11 +271,10 @@ def fitted(documents: DataFrame, labels: DataFrame, settings: Settings = Setting
     left = {"toxic_left": excess("toxic", "ordinary", ratio, settings),
             "ordinary_left": excess("ordinary", "toxic", 1 / ratio, settings)}
     marked = texts.join(counted, "doc_id", "left")
-    first = stored(word_counts(marked), "toxicity-counts")
 
     # Continuation counts, and what the discount leaves of them: the same share as of documents,
     # and no more than chance leaves of the contexts themselves.
-    words = first.where("before is null and shared_before > 0").drop("before").withColumns(left)
+    words = word_counts(marked).where("shared_before > 0").withColumns(left)
     part = {c: F.when(F.col(c) > 0, F.col(f"{c}_left") / F.col(c)).otherwise(0.0) for c in CLASSES}
 
     def sure(contexts: str) -> Column:
@@ -338,14 +297,7 @@ def fitted(documents: DataFrame, labels: DataFrame, settings: Settings = Setting
     neutral = np.array([1 - totals[f"{c}_mass"] / totals[f"{c}_before"] for c in CLASSES])
     whole = totals["s"] + DISCOUNT * (totals["v"] + 1)
 
-    # Pairs that toxic texts hold often enough to have a weight, and their documents.
-    hopeful = first.where(F.col("before").isNotNull() & could_stand("toxic", ratio, settings))
-    hopeful = stored(hopeful.select("before", "word"), "toxicity-hopeful")
-    if hopeful.count() <= settings.keys:
-        pairs = pair_counts(learned, sorted_keys(hopeful))
-    else:
-        pairs = pair_counts(learned, None).join(hopeful, ["before", "word"], "left_semi")
-    apart = pairs.withColumns(left).where("toxic_left + ordinary_left > 0")
+    apart = pair_counts(learned).withColumns(left).where("toxic_left + ordinary_left > 0")
     apart = cut(apart.select("before", "word", "toxic_left", "ordinary_left"))
 
     # Pairs that set a class apart have rows; the others rest on the words.

@@ -215,10 +215,7 @@ def plain_kneser_ney(texts: dict, toxic: dict, settings) -> dict:
         for (first, word), n in docs[kind].items():
             seen[kind][first] += n
             before[kind][word] += n
-    # Pairs that can have a weight.
-    ratio = sizes[1] / sizes[0]
-    hopeful = {pair for pair, n in docs[1].items() if excess(n, 0, ratio) > 0}
-    pair_left = {pair: (left(docs, pair, 0), left(docs, pair, 1)) for pair in hopeful}
+    pair_left = {pair: (left(docs, pair, 0), left(docs, pair, 1)) for pair in {*docs[0], *docs[1]}}
     kept = {pair for pair, own in pair_left.items() if sum(own) > 0}
     whole = sum(contexts[w] - claimed[w] for w in contexts) + 0.75 * (len(contexts) + 1)
 
@@ -278,7 +275,7 @@ def test_toxicity_counts_grow_with_the_input(spark):
     got = toxicity_kn.evidence([texts[i].encode() for i in texts], model)
     assert np.allclose(got, [wanted[i] for i in texts], rtol=0, atol=1e-9)
     # Joined by key, as a model is that is too large to broadcast: equal scores.
-    keyed = toxicity_kn.fitted(documents, labels, toxicity_kn.Settings(expressions=0, keys=0))
+    keyed = toxicity_kn.fitted(documents, labels, toxicity_kn.Settings(expressions=0))
     assert keyed.frames and np.isclose(keyed.slope, model.slope) and np.isclose(keyed.offset, model.offset)
     few = documents.where("doc_id < 40").unionAll(documents.limit(3)).unionAll(
         spark.createDataFrame([(None, None), (1, "")], "doc_id long, text string")
