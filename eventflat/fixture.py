@@ -71,7 +71,7 @@ MICROS = """datediff(cast(ts as date), date'1970-01-01') * 86400000000L + hour(t
 WIDE_KEYS = [f"w{number:02}" for number in range(100)]
 
 # An own clock that contradicts the export's, a float, a key three times (without a value
-# first in every third event), and many keys of which an event has a tenth.
+# first in every third event).
 AWKWARD_PARAMETERS = [
     *[entry for entry in PARAMETERS if entry[0] != "custom_timestamp"],
     ("custom_timestamp", "int_value", "event_id % 13 = 0",
@@ -80,8 +80,6 @@ AWKWARD_PARAMETERS = [
     ("twice", "string_value", "event_id % 3 = 0", "cast(null as string)"),
     ("twice", "int_value", "true", "k"),
     ("twice", "string_value", "true", "'late'"),
-    *[(key, "string_value", f"(event_id + {number}) % 10 = 0", f"concat('{key}', event_id % 7)")
-      for number, key in enumerate(WIDE_KEYS)],
 ]
 
 AWKWARD_COLUMNS = {
@@ -94,11 +92,23 @@ AWKWARD_COLUMNS = {
 }
 
 
-def _parameter(key: str, slot: str, present: str, value: str) -> str:
+def _entry(key: str, slot: str, value: str) -> str:
     slots = {**NO_SLOTS, slot: value}
     fields = ", ".join(f"'{name}', {text}" for name, text in slots.items())
-    entry = f"named_struct('key', '{key}', 'value', named_struct({fields}))"
-    return f"if({present}, {entry}, null)"
+    return f"named_struct('key', {key}, 'value', named_struct({fields}))"
+
+
+def _parameter(key: str, slot: str, present: str, value: str) -> str:
+    """An array of this parameter, or an empty one. No lambda: so it can be compiled."""
+    entry = _entry(f"'{key}'", slot, value)
+    return f"if({present}, array({entry}), array())"
+
+
+def _wide_parameters() -> str:
+    """Many keys of which an event has a tenth."""
+    keys = ", ".join(f"'{key}'" for key in WIDE_KEYS)
+    own = f"filter(array({keys}), (key, number) -> (event_id + number) % 10 = 0)"
+    return f"transform({own}, key -> {_entry('key', 'string_value', 'concat(key, event_id % 7)')})"
 
 
 def _collected_traffic_source() -> str:
@@ -113,7 +123,9 @@ def nested_events(
 ) -> DataFrame:
     """The ``events`` table in the nested export schema, row for row.
 
-    ``collected`` adds the optional column ``collected_traffic_source``.
+    ``collected`` adds the optional column ``collected_traffic_source``. Helper values and
+    parameters come from a generator of one row: filters on them are not pushed below it, so
+    each event's are made once, as if they had been read.
     """
     columns = dict(AWKWARD_COLUMNS if awkward else COLUMNS)
     if collected:
@@ -125,11 +137,15 @@ def nested_events(
         }
     ).withColumn("sid", F.expr("(us div 1000000 + 43200) div 86400"))
     parameters = AWKWARD_PARAMETERS if awkward else PARAMETERS
-    entries = ", ".join(_parameter(*parameter) for parameter in parameters)
-    params = f"if(event_id % 101 = 0, array(), filter(array({entries}), p -> p is not null))"
-    return helped.select(
-        *[F.expr(text).alias(name) for name, text in columns.items()],
-        F.expr(params).alias("event_params"),
+    entries = [_parameter(*parameter) for parameter in parameters]
+    if awkward:
+        helped = helped.withColumn("wide", F.expr(_wide_parameters()))
+        entries.append("wide")
+    params = f"if(event_id % 101 = 0, array(), concat({', '.join(entries)}))"
+    made = f"named_struct('k', k, 'us', us, 'event_params', {params})"
+    rows = helped.select(*events.columns, F.expr(f"inline(array({made}))"))
+    return rows.select(
+        *[F.expr(text).alias(name) for name, text in columns.items()], "event_params"
     )
 
 
