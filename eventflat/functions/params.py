@@ -78,17 +78,22 @@ def has_pivot_key(params: str = PARAMS) -> str:
     return f"array_max(array_remove({params}.key, {literal(ITEMS_KEY)})) is not null"
 
 
-def keyed_once(params: str) -> str:
-    """The entries that have a key, the first of each key, in array order.
+def keyed_once(params: str, keys: str) -> str:
+    """The first entry of each key, in array order; ``keys`` holds the keys of the entries.
 
     That is nearly always all of them, which is settled without a lambda.
     """
     return (
-        f"if(size(array_distinct({params}.key)) = size({params}), {params}, "
-        f"filter({params}, (entry, place) -> array_position({params}.key, entry.key) = place + 1))"
+        f"if(size(array_distinct({keys})) = size({params}), {params}, "
+        f"filter({params}, (entry, place) -> array_position({keys}, entry.key) = place + 1))"
     )
 
 
+def keys_set(params: str) -> str:
+    """The keys of the entries that have one, in array order."""
+    return f"filter({params}.key, key -> key is not null)"
+
+
 def with_key(params: str) -> str:
     """The entries that have a key."""
     kept = f"filter({params}, entry -> entry.key is not null)"

@@ -14,6 +14,7 @@ from ..functions.params import (
     entries_with_value,
     has_pivot_key,
     keyed_once,
+    keys_set,
     literal,
     param_value,
     quoted,
@@ -129,10 +130,13 @@ def pivot_params(
     else:
         session = "_session"
         names = {key: f"_texts.{quoted(key)}" for key in keys}
-        rows = rows.selectExpr(*kept, f"{with_key('_entries')} as _entries")
+        # Keys are a column of their own: a search in it does not gather them again.
+        rows = rows.selectExpr(
+            *kept, f"{with_key('_entries')} as _entries", f"{keys_set('_entries')} as _keys"
+        )
         rows = rows.selectExpr(
             *kept,
-            f"{keyed_once('_entries')} as _entries",
+            f"{keyed_once('_entries', '_keys')} as _entries",
             f"{param_value(SESSION_KEY, '_entries')} as _session",
         )
         texts = rows.selectExpr(
