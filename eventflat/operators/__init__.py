@@ -6,6 +6,7 @@ from .items import recollect_items
 from .key_index import indexed_param_keys, update_key_index
 from .params import discover_param_keys, distinct_param_keys, explode_params, pivot_params
 from .sessions import events_in_sessions, session_rows, whole_sessions, with_session_params
+from .spread import spread_large_tasks
 
 __all__ = [
     "discover_param_keys",
@@ -18,6 +19,7 @@ __all__ = [
     "pivot_params",
     "recollect_items",
     "session_rows",
+    "spread_large_tasks",
     "update_key_index",
     "whole_sessions",
     "with_batch_defaults",

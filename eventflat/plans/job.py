@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.filters import keep_events
 from ..operators.key_index import indexed_param_keys
 from ..operators.params import discover_param_keys
+from ..operators.spread import spread_large_tasks
 from ..sources import (
     file_sink,
     file_source,
@@ -71,8 +72,10 @@ def run_job(spark: SparkSession, spec: dict[str, Any]) -> dict[str, Any]:
     no column; from other sources all rows must be read for it, which keeps filters from
     being pushed into the scan, so it is opt-in. ``key_index`` in the spec names a folder in
     which the parameter keys of the source's files are kept (see ``indexed_param_keys``): a
-    run then looks for keys in files only that no run has seen. An empty result is not
-    written. Everything in the spec is checked before Spark does any work.
+    run then looks for keys in files only that no run has seen. Events of large Parquet row
+    groups are spread over tasks (see ``spread_large_tasks``) unless ``num_partitions`` is
+    given. An empty result is not written. Everything in the spec is checked before Spark
+    does any work.
     """
     spec = dict(spec)
     job = spec.get("job")
@@ -110,6 +113,8 @@ def run_job(spark: SparkSession, spec: dict[str, Any]) -> dict[str, Any]:
         else:
             rows_read = RowCount("rows_read")
             data = rows_read(data)
+    if job == "flatten_events" and not params.get("num_partitions") and getattr(read, "rows_numbered", False):
+        data = spread_large_tasks(data, keep_events(data, **_known(keep_events, params)))
     # The sink counts where nothing but the write comes after: it may look at rows twice.
     rows_written = RowCount("rows_written")
     write(transform(data, **params), rows_written)

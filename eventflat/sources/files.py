@@ -29,6 +29,8 @@ OVERWRITE_DAY = "overwrite_day"
 
 #: Formats whose files tell their number of rows, so that a count reads no column.
 COUNTED_FORMATS = ("parquet", "orc")
+#: Formats whose readers tell a row's place in its file.
+NUMBERED_FORMATS = ("parquet",)
 
 
 def as_it_is(data: DataFrame) -> DataFrame:
@@ -89,6 +91,7 @@ def _file_source(
         return data if where is None else data.where(where)
 
     read.counted_by_files = file_format in COUNTED_FORMATS
+    read.rows_numbered = file_format in NUMBERED_FORMATS
     return read
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import time
 
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 
 from eventflat import parquet_sink, parquet_source, run_job, table_sink
 from eventflat.operators import discover_param_keys, indexed_param_keys, keep_events
-from eventflat.operators import key_index
+from eventflat.operators import key_index, spread
 from eventflat.operators.filters import like_prefix
+from eventflat.plans import job
 
 
 @pytest.fixture
@@ -179,3 +181,38 @@ def test_named_files_are_the_only_ones_scanned(spark, tmp_path):
     one = key_index.files_of(data).first()["file"]
     scan = data.where(F.col("_metadata.file_path").isin([one]))
     assert {row[0] for row in key_index.keys_of_files(scan).select("file").collect()} == {one}
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_a_large_row_group_is_spread_before_the_merge(spark, tmp_path, monkeypatch, copies):
+    path = str(tmp_path / "in")
+    rows = [
+        {"event_name": "view" if i % 4 else "click", "event_timestamp": i // copies,
+         "event_params": params(("a", i // copies), ("b", "x"))} for i in range(4000)
+    ]
+    frame(spark, *rows).coalesce(1).write.parquet(path)
+    flatten, has_rows = job.JOBS["flatten_events"]
+    most = []
+
+    @functools.wraps(flatten)
+    def noted(data, **given):
+        most.append(max(row["count"] for row in spread.rows_by_task(data).collect()))
+        return flatten(data, **given)
+
+    def written(name, **more):
+        report = run_job(spark, {
+            "job": "flatten_events", "params": {"event_list": ["view"], **more},
+            "source": {"type": "parquet", "path": path},
+            "sink": {"type": "parquet", "path": str(tmp_path / name)},
+        })
+        found = spark.read.parquet(str(tmp_path / name))
+        return report["rows_written"], sorted(map(str, found.collect()))
+
+    monkeypatch.setitem(job.JOBS, "flatten_events", (noted, has_rows))
+    whole = written("whole")
+    monkeypatch.setattr(spread, "LARGE_TASK", 1000)
+    monkeypatch.setattr(spread, "ROWS_PER_TASK", 500)
+    assert written("spread") == whole
+    # Rows of one file are dealt out by a hash: no task has much more than its share.
+    assert most[0] == 3000 and most[1] < 600
+    assert written("chosen", num_partitions=2) == whole and most[2] == 4000
