@@ -20,14 +20,13 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import ship, slices, texts_of, without
+from .common import kept_by_worker, ship, slices, texts_of, without
 
 #: Entries of a generation of each cache of a worker, some 300 bytes each; two are kept.
 CACHE = 250_000
@@ -160,7 +159,7 @@ class Codec:
         return count, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
-@lru_cache(maxsize=2)
+@kept_by_worker(2)
 def codec(path: str) -> Codec:
     """One codec for each worker and file."""
     return Codec(path)
@@ -176,7 +175,7 @@ def encode_decode(documents: DataFrame, path: str) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", codec):
             found = [own.document(text) for text in texts_of(batch, "text")]
             struct = pa.StructArray.from_arrays(
                 [

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -18,6 +20,9 @@ from pyspark.sql import functions as F
 #: Words of a text: runs of anything but ASCII white space (Java and RE2 syntax).
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Functions whose results a worker keeps.
+KEPT: list[Callable] = []
+
 #: Bytes of text that a Python task holds in expanded form at a time.
 SLICE_BYTES = 4_000_000
 
@@ -100,8 +105,36 @@ def storage(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that one holds about SLICE_BYTES of text; a longer text stands alone."""
+def kept_by_worker(most: int) -> Callable:
+    """``lru_cache`` for what a worker may keep between tasks, see ``drop_others``."""
+
+    def mark(make: Callable) -> Callable:
+        KEPT.append(lru_cache(maxsize=most)(make))
+        return KEPT[-1]
+
+    return mark
+
+
+def drop_others(used: tuple[Callable, ...] = ()) -> None:
+    """Drop what operators that ran in this worker before have kept, but for ``used``.
+
+    Spark hands a worker from one stage to the next, so what each operator keeps would add up.
+    """
+    others = [made for made in KEPT if made not in used and made.cache_info().currsize]
+    for made in others:
+        made.cache_clear()
+    if others:
+        gc.collect()
+
+
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, *used: Callable
+) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that one holds about SLICE_BYTES of text; a longer text stands alone.
+
+    ``used`` are the ``kept_by_worker`` functions of this operator: those of others are dropped.
+    """
+    drop_others(used)
     for batch in batches:
         sizes = text_bytes(batch.column(column))
         ends = np.cumsum(sizes)

@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import io
 import struct
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -591,3 +593,15 @@ def test_pipeline(spark, tmp_path):
     found = Counter(r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect())
     assert set(found) <= set(range(80)) and len(found) >= 60 and max(found.values()) <= 2
     assert found[0] <= 2
+
+
+def test_a_worker_drops_what_other_operators_have_kept():
+    batches = [pa.RecordBatch.from_pydict({"text": ["some text"]})]
+    held = weakref.ref(bpe.codec(queries.tokenizer_path()))
+    assert held().document(b"some text")[0] and quality_divergence.short_word(b"The", 4) == "the"
+    assert [b.num_rows for b in common.slices(iter(batches), "text", bpe.codec)] == [1]
+    assert held() is bpe.codec(queries.tokenizer_path())
+    assert not quality_divergence.short_word.cache_info().currsize
+    quality_divergence.class_counts([b"some text"])
+    assert [b.num_rows for b in common.slices(iter(batches), "text")] == [1]
+    assert held() is None and not quality_divergence.class_table.cache_info().currsize
