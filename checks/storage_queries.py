@@ -16,6 +16,7 @@ from eventflat import (
     table_source,
 )
 from eventflat.fixture import load_nested_events
+from eventflat.sources.layout import write_tasks
 
 from .event_queries import ALL_NAMES, flat_scalars
 from .scratch import new_folder, new_table
@@ -205,9 +206,14 @@ def sink_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     time may skip at least half of the rows."""
     folder, nested = new_folder(spark), load_nested_events(spark, sf_dir)
     flat = flatten_events(nested, event_list=ALL_NAMES, param_keys=["page_location"])
+    # No more rows than events, whose number the file's footer tells.
+    n_events, rows_per_file = spark.read.parquet(f"{sf_dir}/events.parquet").count(), 50
     with_small_files = file_sink(
-        f"{folder}/small", "overwrite", "event_date", options={"maxRecordsPerFile": 50},
-        cluster_by="event_timestamp",
+        f"{folder}/small", "overwrite", "event_date",
+        # Tasks move their own files: the driver would move them one by one. A run that fails
+        # may leave some of them, in a folder that is this run's alone.
+        options={"maxRecordsPerFile": rows_per_file, "mapreduce.fileoutputcommitter.algorithm.version": 2},
+        cluster_by="event_timestamp", cluster_tasks=write_tasks(n_events, rows_per_file),
     )
     with_small_files(flat)
     files = (

@@ -118,16 +118,21 @@ def file_sink(
     cluster_by: str | Sequence[str] | None = None,
     run_date: object | None = None,
     rebalance: bool = True,
+    cluster_tasks: int | None = None,
 ) -> Sink:
     """Files under ``path``, optionally one folder per value of the partition columns.
 
     Mode ``overwrite_day`` replaces the folder of ``run_date`` only; the first partition
     column is then the day. Other modes are Spark's. A partitioned write is rebalanced by one
     shuffle, one with ``cluster_by`` deals rows out by range of those columns; without
-    ``rebalance`` every task leaves a file per folder.
+    ``rebalance`` every task leaves a file per folder. Adaptive execution makes few tasks of
+    few bytes, however many files they have to write: ``cluster_tasks`` sets their number
+    for small files (``write_tasks`` has one).
     """
     file_format = format.lower()
     partitions, clusters = column_list(partition_by), column_list(cluster_by)
+    if cluster_tasks is not None and not (clusters and rebalance):
+        raise ValueError("cluster_tasks needs cluster_by and rebalance")
     day = None
     if mode == OVERWRITE_DAY:
         if not partitions:
@@ -138,7 +143,7 @@ def file_sink(
         reject_nested_csv(file_format, data.schema)
         if day is not None:
             data = only_day(data, partitions[0], day)
-        writer = last(arrange(data, partitions, clusters, rebalance)).write.format(file_format)
+        writer = last(arrange(data, partitions, clusters, rebalance, cluster_tasks)).write.format(file_format)
         writer = writer.options(**(options or {}))
         if day is not None:
             writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -16,6 +16,11 @@ from ..operators.columns import hashable
 FLAT = "flat"
 DATED = "date_partitioned"
 
+#: Files that one task of a write of small files has, until there are as many tasks as below.
+FILES_PER_TASK = 100
+#: A task more is a range more to sample bounds for, so tasks get longer beyond so many.
+MOST_WRITE_TASKS = 1_000
+
 
 def data_directory(path: str, layout: str, run_date: object | None) -> str:
     """Where a layout keeps its files: the path, or a folder in it named by the date."""
@@ -41,6 +46,12 @@ def parse_day(run_date: object | None) -> dt.date:
     return dt.date.fromisoformat(str(run_date))
 
 
+def write_tasks(rows: int, rows_per_file: int) -> int:
+    """Tasks for files of so few rows that their number takes the time, not their bytes."""
+    files = -(-rows // rows_per_file)
+    return max(1, min(MOST_WRITE_TASKS, -(-files // FILES_PER_TASK)))
+
+
 def nested_columns(schema: T.StructType) -> list[str]:
     kinds = (T.ArrayType, T.MapType, T.StructType)
     return [field.name for field in schema.fields if isinstance(field.dataType, kinds)]
@@ -67,6 +78,7 @@ def arrange(
     partition_by: Sequence[str],
     cluster_by: Sequence[str] = (),
     rebalance: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Distribute and sort rows for the files they go to.
 
@@ -74,7 +86,8 @@ def arrange(
     folder hold ranges of their own and a reader skips those, and row groups in them, that
     cannot hold what it looks for. A hash of the row comes last among the range keys, so that
     a value with very many rows still spreads over tasks. The bounds take a look at the rows:
-    what comes after the last shuffle in front runs twice. Without cluster columns,
+    what comes after the last shuffle in front runs twice. ``tasks`` is the number of ranges,
+    which adaptive execution otherwise joins by their bytes. Without cluster columns,
     rebalancing brings the rows of a partition folder together, splits a folder that is too
     big for one task and joins small ones. Either is one shuffle; without it every task
     writes a file into each folder it has rows for, sorted by cluster columns in itself.
@@ -82,7 +95,8 @@ def arrange(
     if rebalance and cluster_by:
         tie = [field.name for field in data.schema.fields if hashable(field.dataType)]
         keys = [F.col(quoted(name)) for name in (*partition_by, *cluster_by)]
-        data = data.repartitionByRange(*keys, F.xxhash64(*[F.col(quoted(name)) for name in tie]))
+        keys.append(F.xxhash64(*[F.col(quoted(name)) for name in tie]))
+        data = data.repartitionByRange(*([tasks] if tasks else []), *keys)
     elif rebalance and partition_by:
         data = data.hint("rebalance", *partition_by)
     if not cluster_by:

@@ -10,11 +10,13 @@ import pytest
 from frames import frame, params, plan
 from pyspark.sql import functions as F
 
-from eventflat import parquet_sink, parquet_source, run_job, table_sink
+from checks import storage_queries
+from eventflat import file_sink, parquet_sink, parquet_source, run_job, table_sink
 from eventflat.operators import discover_param_keys, indexed_param_keys, keep_events
 from eventflat.operators import key_index, spread
 from eventflat.operators.filters import like_prefix
 from eventflat.plans import job
+from eventflat.sources.layout import write_tasks
 
 
 @pytest.fixture
@@ -68,6 +70,41 @@ def test_without_rebalance_rows_stay_in_their_tasks(small_tasks, tmp_path):
     assert len(files(spark.read.parquet(path), "user")) == 16
 
 
+def parts(path):
+    """Numbers of the tasks that left a file."""
+    names = [name for _, _, found in os.walk(path) for name in found if name.startswith("part-")]
+    return {name.split("-")[1] for name in names}, len(names)
+
+
+def test_tasks_of_a_clustered_write_follow_its_small_files(spark, tmp_path):
+    assert [write_tasks(rows, 50) for rows in (0, 1, 5000, 5001, 10**9)] == [1, 1, 1, 2, 1000]
+    data, few, many = scattered(spark, 15_000), str(tmp_path / "few"), str(tmp_path / "many")
+    small = {"partition_by": "day", "cluster_by": "user", "options": {"maxRecordsPerFile": 50}}
+    file_sink(few, **small)(data)
+    file_sink(many, **small, cluster_tasks=write_tasks(15_000, 50))(data)
+    assert len(parts(few)[0]) < 3 and len(parts(many)[0]) == 3
+    assert 300 <= parts(many)[1] <= 304
+    written = spark.read.parquet(many)
+    assert written.count() == 15_000 and written.select("id").distinct().count() == 15_000
+    for own in by_day(files(written, "user")).values():
+        assert all(one["high"] <= other["low"] for one, other in zip(own, own[1:], strict=False))
+    with pytest.raises(ValueError, match="cluster_tasks"):
+        file_sink(many, cluster_tasks=3)
+
+
+def test_sink_clustered_deals_its_files_out_over_tasks(spark, tmp_path, monkeypatch):
+    spark.range(15_000).selectExpr(
+        "id as event_id", "timestamp_micros(1704067200000000 + id * 10000000) as ts", "id % 90 as user_id",
+        "'view' as event_type", "cast(null as double) as value", "concat('{\"k\": ', id % 100, '}') as props",
+    ).coalesce(1).write.parquet(str(tmp_path / "in" / "events.parquet"))
+    monkeypatch.setattr(storage_queries, "new_folder", lambda spark: str(tmp_path / "out"))
+    days = storage_queries.sink_clustered(spark, str(tmp_path / "in")).collect()
+    n_rows = sum(id % 101 != 0 for id in range(15_000))
+    assert sum(day["n_rows"] for day in days) == n_rows and len(days) == 2
+    assert not any(day["n_overlaps"] for day in days) and all(day["half_skipped"] for day in days)
+    assert len(parts(tmp_path / "out")[0]) == 3
+
+
 def test_clustered_table_day_and_its_report(small_tasks, tmp_path):
     spark, table = small_tasks, f"clustered_{os.getpid()}_{time.time_ns()}"
     table_sink(table, "backfill", "day", "user")(scattered(spark))
